@@ -81,3 +81,25 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
     """Hint a broadcast only for a side whose counted ``rows`` lie under ``limit``."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per context.
+
+    Workers that can import it already lose nothing; those on other machines get it from the driver.
+    """
+    import os
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if getattr(context, "_lodestone_shipped", False):
+        return spark
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="lodestone-code-"), "lodestone.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    context.addPyFile(target)
+    context._lodestone_shipped = True
+    return spark
