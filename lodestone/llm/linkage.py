@@ -88,7 +88,7 @@ def profiles(rows: DataFrame, configs: DataFrame) -> tuple[DataFrame, DataFrame]
     told = told.select("n", F.explode("words").alias("word"), "s").where("length(word) >= 3")
     words = told.groupBy("word").agg(F.sum(F.when(F.contains("s", "word"), F.col("n")).otherwise(0)).alias("pro"), F.sum("n").alias("all"))
     everyday = words.where("pro * 2 < all and all >= 2").select("word")
-    names = one.select("squash", "words").groupBy("squash").agg(F.first("words").alias("words")).select("squash", F.explode("words").alias("word"))
+    names = one.select("squash", F.explode("words").alias("word"))
     plain = names.join(everyday, "word", "left_semi").select("squash").distinct().withColumn("plain", F.lit(True))
     one = one.join(plain, "squash", "left").withColumn("branded", F.col("plain").isNull() & (F.length("squash") >= 5)).drop("plain")
     return r.select("row_id", "source_key", "pid"), one
