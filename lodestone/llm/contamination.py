@@ -157,7 +157,7 @@ def leaks(documents: DataFrame, items: DataFrame, rare_terms: int = 8, agree: in
         index = build_index(documents, work_path(spark, "postings"))
     vocabulary = sorted({w for _, _, ws in probe for w in ws})
     held_terms = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "term string"))
-    counts = index.join(held_terms, "term").groupBy("term").agg(F.countDistinct("doc_id").alias("df"))
+    counts = index.join(held_terms, "term").groupBy("term").agg(F.count("*").alias("df"))
     df = {r["term"]: r["df"] for r in bounded_rows(counts, len(vocabulary), "the held-out terms")}
     lookup: list[tuple[str, int, int, int]] = []
     need: list[int] = []

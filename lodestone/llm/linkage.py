@@ -165,7 +165,7 @@ def votes(pairs: DataFrame, one: DataFrame) -> DataFrame:
         vote(A("site") == B("site"), both & (A("site") != B("site"))).alias("site"),
         vote(brands & same, ~same & ~part & full & far).alias("name"),
         vote(brands & slug).alias("slug"),
-        vote(same | typo, ~same & ~part & far).alias("spelling"),
+        vote((same | typo) & (brands | F.coalesce(A("site") == B("site"), F.lit(False))), ~same & ~part & far).alias("spelling"),
         vote(told(A, B) | told(B, A), both & (A("host") != B("host")) & ~told(A, B) & ~told(B, A)).alias("host"),
         vote(A("tagline") == B("tagline")).alias("tagline"),
     )

@@ -64,12 +64,12 @@ def transducer() -> Callable[[str], str]:
         if form != cluster_form(form) or any(x in table for x in form):
             raise ValueError(f"U+{ord(source):04X} maps to {form!r}, which is rewritten again")
     gone, marks = re.escape(invisible()), re.escape(_marks())
-    singles = re.escape("".join(table) + invisible())
+    singles = re.escape("".join(table))
     # Alternatives in order of length: joined pictures stay as they are, clusters, single characters, line ends.
     pattern = re.compile(
         rf"(?P<keep>[{_PICTURE}][︎️]?(?:‍[{_PICTURE}][︎️]?)+)"
-        rf"|[^{gone}{marks}\n](?:[{gone}]*[{marks}])+"
-        rf"|[{singles}]+"
+        rf"|(?P<cluster>[^{gone}{marks}\n\r](?:[{gone}]*[{marks}])+)"
+        rf"|(?:[{gone}]|[{singles}](?![{gone}]*[{marks}]))+"
         r"|[ \t]*\r\n?|[ \t]+(?=\n|\Z)"
     )
 
@@ -77,11 +77,11 @@ def transducer() -> Callable[[str], str]:
         if m["keep"]:
             return m["keep"].replace("️", "").replace("︎", "")
         x = m[0]
+        if m["cluster"]:
+            return cluster_form(x)
         if x[-1] in "\r\n":
             return "\n"
-        if x.isascii():
-            return ""
-        return "".join(map(cluster_form, x)) if x[0] in table or x[0] in _SETS["gone"] else cluster_form(x)
+        return "" if x.isascii() else "".join(map(cluster_form, x))
 
     def form(text: str) -> str:
         if text.isascii() and "\r" not in text and " \n" not in text and "\t\n" not in text and text[-1:] not in (" ", "\t"):
