@@ -73,6 +73,9 @@ def transducer() -> Callable[[str], str]:
         r"|[ \t]*\r\n?|[ \t]+(?=\n|\Z)"
     )
 
+    # Most texts hold nothing to rewrite: no character of the tables and no blank at a line's end.
+    foreign = frozenset(table) | _SETS["gone"] | frozenset(_marks())
+
     def rewrite(m: re.Match) -> str:
         if m["keep"]:
             return m["keep"].replace("️", "").replace("︎", "")
@@ -84,7 +87,8 @@ def transducer() -> Callable[[str], str]:
         return "" if x.isascii() else "".join(map(cluster_form, x))
 
     def form(text: str) -> str:
-        if text.isascii() and "\r" not in text and " \n" not in text and "\t\n" not in text and text[-1:] not in (" ", "\t"):
+        straight = "\r" not in text and " \n" not in text and "\t\n" not in text and text[-1:] not in (" ", "\t")
+        if straight and (text.isascii() or foreign.isdisjoint(text)):
             return text
         out = pattern.sub(rewrite, text)
         return re.sub(r"[ \t]+(?=\n|\Z)", "", out)
