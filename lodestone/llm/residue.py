@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import weburls
 from lodestone.llm.mainbody import ERROR, NOTICE, Page, is_name, rule
-from lodestone.session import spread
+from lodestone.session import bounded_rows, spread
 
 # The forms in which template systems write a place to fill.
 PLACEHOLDER = re.compile(
@@ -41,6 +41,8 @@ MENTION = re.compile(
 )
 #: A line is boilerplate of its host when it recurs on so many pages and on such a share of them.
 PAGES, SHARE = 3, 0.2
+#: A host is hot with more than one page in so many; its pages are spread over so many keys.
+HOT, SALTS = 200, 32
 
 
 def line_key(line: Column) -> Column:
@@ -123,8 +125,16 @@ def excluded(fetches: DataFrame) -> DataFrame:
     address = F.coalesce(weburls.parts(F.coalesce("final_url", "url"))["page"], F.lit(""))
     sizes = f.select(host.alias("host"), address.alias("address")).groupBy("host").agg(F.countDistinct("address").alias("n"))
     boiler = counts.where(F.col("pages") >= PAGES).join(sizes, "host").where(F.col("pages") >= SHARE * F.col("n"))
-    boiler = boiler.groupBy("host").agg(F.collect_list("key").alias("recurrent"))  # at most 1 / SHARE lines per line of a mean page
-    pages = spread(f.select(F.col("fetch_id").cast("bigint").alias("fetch_id"), host.alias("host"), "text")).join(boiler, "host", "left").select("fetch_id", "text", "recurrent")
+    # At most 1 / SHARE lines of a host for each line of its mean page, so a host's list is short.
+    boiler = boiler.groupBy("host").agg(F.collect_list("key").alias("recurrent"))
+    # Hosts with more than one page in HOT, of which there can't be HOT: their pages are split.
+    total = f.count()
+    hot = [r["host"] for r in bounded_rows(f.select(host.alias("host")).groupBy("host").count().where(F.col("count") * HOT > total), HOT, "the hot hosts")]
+    is_hot = F.col("host").isin(hot) if hot else F.lit(False)
+    boiler = boiler.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    pages = spread(f.select(F.col("fetch_id").cast("bigint").alias("fetch_id"), host.alias("host"), "text"))
+    pages = pages.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("fetch_id"), F.lit(SALTS)).cast("int")).otherwise(0))
+    pages = pages.join(boiler, ["host", "salt"], "left").select("fetch_id", "text", "recurrent")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
