@@ -155,6 +155,8 @@ def votes(pairs: DataFrame, one: DataFrame) -> DataFrame:
     full = (F.size(A("words")) > 1) & (F.size(B("words")) > 1)
     part = ((F.size(A("words")) == 1) | (F.size(B("words")) == 1)) & (A("first") == B("first"))
     far = (F.levenshtein(A("squash"), B("squash"), 3) == -1) & (F.levenshtein(A("sorted"), B("sorted"), 3) == -1)
+    # One maker, two products: the first word is the same, the rest is no misspelling of it.
+    far = far | F.coalesce((A("first") == B("first")) & ~typo & ~same, F.lit(False))
     both = A("site").isNotNull() & B("site").isNotNull()
     vote = lambda yes, no=F.lit(False): F.when(F.coalesce(yes, F.lit(False)), 1).when(F.coalesce(no, F.lit(False)), -1).otherwise(0)
     told = lambda s, o: F.contains(F.regexp_replace(s("site"), "[^a-z0-9]", ""), o("squash")) & (F.length(o("squash")) >= 8) & (s("site").eqNullSafe(o("site")) | (F.size(o("words")) > 1))
@@ -162,7 +164,8 @@ def votes(pairs: DataFrame, one: DataFrame) -> DataFrame:
     return j.select(
         "a",
         "b",
-        vote(A("site") == B("site"), both & (A("site") != B("site"))).alias("site"),
+        # Makers keep several domains under a product's name; only sites that speak of something else contradict.
+        vote(A("site") == B("site"), both & (A("site") != B("site")) & ~told(A, B) & ~told(B, A)).alias("site"),
         vote(brands & same, ~same & ~part & full & far).alias("name"),
         vote(brands & slug).alias("slug"),
         vote((same | typo) & (brands | F.coalesce(A("site") == B("site"), F.lit(False))), ~same & ~part & far).alias("spelling"),
