@@ -7,6 +7,7 @@ from collections.abc import Callable
 from difflib import SequenceMatcher
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -176,6 +177,62 @@ def sequence_ratio(a: Column, b: Column) -> Column:
     return ratio(a, b)
 
 
+class Similarity:
+    """Ratcliff-Obershelp similarity of pairs of texts given by their places, as difflib has it; 0 where one is missing.
+
+    Short ASCII texts are matched many at a time; difflib itself takes the rest.
+    """
+
+    def __init__(self, texts: list[str | None]):
+        self.texts = texts
+        self.missing = np.array([t is None for t in texts], bool)
+        self.short = np.array([t is not None and t.isascii() and len(t) < 128 for t in texts], bool)
+        self.lengths = np.array([len(t) if ok else 0 for t, ok in zip(texts, self.short)], np.int64)
+        self.codes = np.zeros((len(texts), max(1, int(self.lengths.max(initial=0)))), np.uint8)
+        for k in np.flatnonzero(self.short):
+            self.codes[k, : self.lengths[k]] = np.frombuffer(texts[k].encode(), np.uint8)
+
+    def __call__(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x))
+        many = self.short[x] & self.short[y]
+        for k in np.flatnonzero(~many & ~self.missing[x] & ~self.missing[y]):
+            out[k] = SequenceMatcher(None, self.texts[x[k]], self.texts[y[k]]).ratio()
+        rows = np.flatnonzero(many)
+        for at in range(0, len(rows), 4096):
+            part = rows[at : at + 4096]
+            i, j = x[part], y[part]
+            both = self.lengths[i] + self.lengths[j]
+            out[part] = np.where(both > 0, 2.0 * _matched(self.codes[i], self.lengths[i], self.codes[j], self.lengths[j]) / np.maximum(both, 1), 1.0)
+        return out
+
+
+def _matched(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    """Characters in the matching blocks of each row: the longest common block, earliest in a, then in b; then left and right of it."""
+    total = np.zeros(len(a), np.int64)
+    zero = np.zeros(len(a), np.int64)
+    some = (la > 0) & (lb > 0)
+    todo = [v[some] for v in (np.arange(len(a)), zero, la, zero, lb)]
+    while len(todo[0]):
+        row, a0, a1, b0, b1 = todo
+        i, j = np.arange((a1 - a0).max())[:, None], np.arange((b1 - b0).max())[:, None]
+        u = np.where(i < a1 - a0, a[row, np.minimum(a0 + i, a.shape[1] - 1)], 0).astype(np.uint8)
+        v = np.where(j < b1 - b0, b[row, np.minimum(b0 + j, b.shape[1] - 1)], 1).astype(np.uint8)
+        run = np.zeros((len(j) + 1, len(row)), np.int32)
+        best = np.zeros((len(j), len(row)), np.int32)
+        for k in range(len(i)):
+            new = (run[:-1] + 1) * (u[k] == v)
+            run[1:] = new
+            # Longest first, then the least end in a, then in b.
+            np.maximum(best, (new << 16) + ((255 - k) << 8) + (255 - j).astype(np.int32), out=best)
+        top = best.max(0).astype(np.int64)
+        size, ai, bi = top >> 16, a0 + 256 - ((top >> 8) & 255), b0 + 256 - (top & 255)
+        np.add.at(total, row, size)
+        todo = [np.concatenate(z) for z in ((row, row), (a0, ai), (ai - size, a1), (b0, bi), (bi - size, b1))]
+        on = np.tile(size > 0, 2) & (todo[2] > todo[1]) & (todo[4] > todo[3])
+        todo = [z[on] for z in todo]
+    return total
+
+
 def sentences(c: Column) -> Column:
     """Sentences of a text, parted after a full stop, question or exclamation mark."""
     return F.split(c, "(?<=[.!?])\\s+")

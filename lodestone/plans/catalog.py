@@ -81,8 +81,7 @@ def candidate_pairs(s, d):
 
 
 def judged_pairs(s, d):
-    r = pairs.records(table(s, d, "tools"))
-    return pairs.judge(pairs.candidate_pairs(pairs.blocking_keys(r)), r)
+    return pairs.judge_blocks(pairs.records(table(s, d, "tools")))
 
 
 def match_groups(s, d):

@@ -64,6 +64,21 @@ def test_pairs(spark):
     assert groups == {**{k: 1 for k in range(1, 41)}, 99: 99, 100: 99}
 
 
+def test_pairs_of_large_blocks(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "PART", 7)
+    rows = [(k, f"{'Shared' if k % 3 else 'Common'} Tool{k % 11} {'Gadget' if k % 2 else 'Widget'}", [None, "Acme"][k % 2], [None, "https://acme.com/a", f"https://host{k % 4}.acme.com/x{k}", f"https://github.com/o{k % 5}/t"][k % 4]) for k in range(1, 91)]
+    r = pairs.records(spark.createDataFrame(rows, "tool_no bigint, name string, company string, website string"))
+    members = {}
+    for x in pairs.blocking_keys(r).collect():
+        members.setdefault((x["kind"], x["key"]), set()).add(x["tool_no"])
+    want = {(a, b) for m in members.values() for a in m for b in m if a < b}
+    assert max(map(len, members.values())) > pairs.BROAD
+    got = [tuple(x) for x in pairs.judge_blocks(r).collect()]
+    assert len(got) == len(want) and {x[:2] for x in got} == want
+    every = spark.createDataFrame(sorted(want), "left_id bigint, right_id bigint")
+    assert sorted(got) == sorted(tuple(x) for x in pairs.judge(every, r).collect())
+
+
 def test_quota(spark):
     rows = [(k, "abc"[k % 3] if k % 7 else None, float(k % 5)) for k in range(60)]
     df = spark.createDataFrame(rows, "id int, g string, s double")

@@ -1,6 +1,8 @@
 import hashlib
+import random
 from difflib import SequenceMatcher
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lodestone.functions import text
@@ -44,3 +46,13 @@ def test_codes_lists_and_hash(spark):
     assert column(spark, ["x", None], lambda c: text.content_hash(c, F.lit("y"))) == [hashlib.sha256(f"{v}\x1fy\x1f".encode()).hexdigest()[:16] for v in ("x", None)]
     assert column(spark, ["One. Two! Three?", "x"], text.sentences) == [["One.", "Two!", "Three?"], ["x"]]
     assert column(spark, ["Strong-Tier A"], text.code_word) == ["strong_tier_a"]
+
+
+def test_similarities():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice(["ab", "abc", "aé", "abcdefgh"][rng.randrange(4)]) for _ in range(rng.choice([0, 1, 3, 9, 20, 130, 210])))
+    rows = [(word(), word()) for _ in range(3000)] + [(None, "a"), ("a", None), ("", ""), ("a", "")]
+    n = len(rows)
+    got = text.Similarity([a for a, _ in rows] + [b for _, b in rows])(np.arange(n), np.arange(n, 2 * n))
+    assert got.tolist() == [0.0 if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in rows]
+    assert text.Similarity([])(np.arange(0), np.arange(0)).tolist() == []
