@@ -65,7 +65,7 @@ class History:
     """The stored index: (band key, page, first prep_id) in buckets, appended batch by batch."""
 
     def __init__(self, spark, path: str, buckets: int = 16):
-        self.spark, self.path, self.buckets, self.parts = spark, path, buckets, []
+        self.spark, self.path, self.buckets, self.parts, self.joined = spark, path, buckets, [], []
 
     def _keys(self, pages: DataFrame) -> DataFrame:
         both = weburls.once(signature(F.col("page")), lambda x: F.named_struct(F.lit("signature"), x, F.lit("keys"), band_keys(x)))
@@ -79,6 +79,17 @@ class History:
         keys.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").mode("overwrite").parquet(part)
         self.parts.append(part)
 
+    def join(self, links: DataFrame, batch: int) -> None:
+        """Add links (src, dst) between stored ids that a batch found to be one product."""
+        part = f"{self.path}-links/batch={batch}"
+        links.write.mode("overwrite").parquet(part)
+        self.joined.append(part)
+
+    def links(self) -> DataFrame:
+        """(src, dst): all links between stored ids so far."""
+        schema = "src bigint, dst bigint"
+        return self.spark.read.schema(schema).parquet(*self.joined) if self.joined else self.spark.createDataFrame([], schema)
+
     def probe(self, pages: DataFrame) -> DataFrame:
         """(page, first_id): the earliest stored record of each of ``pages`` (page) that the store has.
 
@@ -116,14 +127,20 @@ def repeats(records: DataFrame, configs: DataFrame, history_batch: int = 0, buck
         by_page = mine.groupBy("page").agg(F.min("prep_id").alias("least"))
         # Links of a row: to the earliest row with the same page here, and to the product in the store.
         links = mine.join(by_page, "page").select(F.col("prep_id").alias("src"), F.col("least").alias("dst"))
+        number = max(step, default=history_batch)
         if store.parts:
-            old = store.probe(by_page)
-            links = links.union(mine.join(old, "page").select("prep_id", "first_id"))
+            old = cut(store.probe(by_page))
+            links = links.union(mine.join(old, "page").select("prep_id", "first_id")).union(store.links())
         links = links.where("src <> dst").distinct()
         groups = connected_components(links)
+        if store.parts:
+            # Rows may join stored products: later batches meet the younger ones under their own ids.
+            groups = cut(groups)
+            bridges = old.select("first_id").distinct().join(groups, F.col("first_id") == F.col("node")).where("component < node").select(F.col("node").alias("src"), F.col("component").alias("dst"))
+            store.join(bridges.join(store.links(), ["src", "dst"], "left_anti"), number)
         rows = mine.select("prep_id").distinct().join(groups, F.col("prep_id") == F.col("node"), "left").select("prep_id", F.coalesce("component", "prep_id").alias("first_id"))
         rows = cut(rows)
-        store.append(mine.join(rows, "prep_id").groupBy("page").agg(F.min("first_id").alias("first_id")), max(step, default=history_batch))
+        store.append(mine.join(rows, "prep_id").groupBy("page").agg(F.min("first_id").alias("first_id")), number)
         if step is not first:
             found = rows.where("first_id < prep_id").select(F.col("first_id").alias("first_prep_id"), "prep_id")
             done = found if done is None else done.union(found)

@@ -56,5 +56,12 @@ def test_brute_force(spark):
     assert {tuple(r) for r in history.repeats(rec(spark, rows), conf(spark)).collect()} == want
 
 
+def test_bridges(spark):
+    page = lambda x: x and f"https://{x}.test/p"
+    rows = [(1, 0, "a", None), (5, 0, "b", "c"), (7, 0, "d", "e"), (20, 1, "a", "b"), (30, 2, "c", None), (40, 3, "b", "d"), (50, 4, "e", None)]
+    got = {tuple(r) for r in history.repeats(rec(spark, [(i, b, page(x), page(y), None, None) for i, b, x, y in rows]), conf(spark)).collect()}
+    assert got == {(1, 20), (1, 30), (1, 40), (1, 50)}
+
+
 def test_empty(spark):
     assert history.repeats(rec(spark, []), conf(spark)).count() == 0
