@@ -21,18 +21,18 @@ VIEW = "struct<title:string,metas:map<string,string>,headings:array<struct<level
 
 def looks_like_challenge(body: Column, status: Column) -> Column:
     """Whether a page is a bot check: by its words, or a refusal with a short body."""
-    head = F.lower(F.substring(F.coalesce(body, F.lit("")), 1, 8000))
+    whole = F.lower(F.coalesce(body, F.lit("")))
     said = F.lit(False)
     for m in CHALLENGE:
-        said = said | F.contains(head, F.lit(m))
-    return said | (F.coalesce(status.isin(401, 403, 429), F.lit(False)) & (F.length(F.coalesce(body, F.lit(""))) < 200_000) & F.contains(head, F.lit("cloudflare")))
+        said = said | F.contains(whole, F.lit(m))
+    return said | (F.coalesce(status.isin(401, 403, 429), F.lit(False)) & (F.length(F.coalesce(body, F.lit(""))) < 200_000) & F.contains(whole, F.lit("cloudflare")))
 
 
 def fingerprint(body: Column) -> Column:
-    """SHA-256 of a page: its distinct link paths (at most 400, in order), else its first 4000 characters."""
+    """SHA-256 of a page: its distinct link paths in order, else its whole text."""
     links = F.regexp_extract_all(body, F.lit("(?i)<a\\s[^>]*href\\s*=\\s*[\"']([^\"'#?]+)"), 1)
-    links = F.slice(F.array_distinct(F.filter(links, lambda x: ~F.contains(x, F.lit("/cdn-cgi/")))), 1, 400)
-    return F.when(body.isNotNull(), F.sha2(F.when(F.size(links) > 0, F.array_join(links, "\n")).otherwise(F.substring(body, 1, 4000)), 256))
+    links = F.array_distinct(F.filter(links, lambda x: ~F.contains(x, F.lit("/cdn-cgi/"))))
+    return F.when(body.isNotNull(), F.sha2(F.when(F.size(links) > 0, F.array_join(links, "\n")).otherwise(body), 256))
 
 
 def freshest(fetches: DataFrame) -> DataFrame:

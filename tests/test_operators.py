@@ -116,3 +116,11 @@ def test_pages(spark):
     listing = spark.createDataFrame([("s", k, f'<a href="/p{k if k < 4 else 1}">', 200, 3) for k in range(1, 7)] + [("t", 1, None, None, 0), ("t", 2, None, None, 0), ("t", 3, "x", 200, 1), ("u", 1, "<p>Just a moment", 403, 0)], "source_key string, page_no int, body string, status int, cards int")
     ends = {r["source_key"]: (r["page_no"], r["stop_reason"]) for r in pages.walk(listing).where("stop_reason is not null").collect()}
     assert ends == {"s": (4, "repeated_content"), "t": (2, "consecutive_failures"), "u": (1, "bot_challenge")}
+
+
+def test_whole_pages(spark):
+    links = "".join(f'<a href="/p{k}">' for k in range(450))
+    long = ["x" * 5000 + "a", "x" * 5000 + "b", links + '<a href="/y">', links + '<a href="/z">', "x" * 9000 + " Just a moment", "x" * 9000]
+    df = spark.createDataFrame(list(enumerate(long)), "id int, body string")
+    got = [tuple(r) for r in df.orderBy("id").select(pages.fingerprint(F.col("body")), pages.looks_like_challenge(F.col("body"), F.lit(200))).collect()]
+    assert len({r[0] for r in got}) == 6 and [r[1] for r in got] == [False] * 4 + [True, False]
