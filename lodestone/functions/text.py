@@ -1,27 +1,27 @@
-"""Text functions as Spark columns. Only sequence similarity goes through Arrow-batched Python."""
+"""Text functions as Spark columns.
+
+What needs Unicode's tables (compatibility forms, accents, entities) or sequence similarity runs
+in Arrow batches, once per distinct value; the rest are built-in expressions.
+"""
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Callable
 from difflib import SequenceMatcher
-from functools import lru_cache
+from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Tokens that carry no identity in a name.
-NAME_NOISE = (
-    "ai", "aiapp", "app", "io", "co", "inc", "inc.", "llc", "ltd", "ltd.", "gmbh", "corp", "corporation", "company", "the", "labs", "lab",
-    "studio", "studios", "technologies", "technology", "tech", "software", "platform", "official", "online", "web", "tool", "tools", "com",
-    "org", "net", "hq", "plus", "pro", "beta", "alpha", "free", "get", "try", "use", "my",
-)
-# Texts that stand for a missing value.
-PLACEHOLDERS = ("n/a", "na", "none", "null", "unknown", "-", "--", "tbd", "todo", "?", "no description", "no description available", "description")
-# What parts a name from a tagline, tried in this order.
-SEPARATORS = (" | ", " — ", " – ", " - ", " :: ", " • ", " · ")
+from lodestone.functions import words
+from lodestone.functions.batches import per_value
+from lodestone.functions.words import NAME_NOISE, PLACEHOLDERS, SEPARATORS
+
+
+
 # Words for yes and no.
 YES = ("true", "yes", "y", "1", "available", "supported")
 NO = ("false", "no", "n", "0", "unavailable", "unsupported", "none")
@@ -32,49 +32,6 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-# Signs that stand for several characters.
-EXPANSIONS = {"™": "TM", "℠": "SM", "℡": "TEL", "№": "No", "…": "...", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "½": "1⁄2", "¼": "1⁄4", "¾": "3⁄4"}
-# Entities resolved in markup.
-ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&copy;": "©", "&reg;": "®", "&euro;": "€", "&amp;": "&"}
-
-
-@lru_cache(1)
-def _tables() -> tuple[tuple[str, str], tuple[str, str]]:
-    """(compatibility, ASCII) tables of single characters, by rule from the Unicode database."""
-    compat, plain = {}, {}
-    for k in range(0x80, 0x10000):
-        if 0xAC00 <= k <= 0xDFFF:
-            continue
-        c = chr(k)
-        n = unicodedata.normalize("NFKC", c)
-        if len(n) == 1 and n != c:
-            compat[c] = n
-        f = unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode("ascii")
-        if len(f) == 1:
-            plain[c] = f
-    return ("".join(compat), "".join(compat.values())), ("".join(plain), "".join(plain.values()))
-
-
-def _expanded(c: Column) -> Column:
-    for sign, words in EXPANSIONS.items():
-        c = F.replace(c, F.lit(sign), F.lit(words))
-    return c
-
-
-def _if_foreign(c: Column, use: Callable[[Column], Column]) -> Column:
-    return once(c, lambda x: F.when(x.rlike("[^\\x00-\\x7F]"), use(x)).otherwise(x))
-
-
-def nfkc(c: Column) -> Column:
-    """Compatibility forms to ordinary characters; a base with a combining mark stays two characters."""
-    return _if_foreign(c, lambda x: F.translate(_expanded(x), *_tables()[0]))
-
-
-def ascii_fold(c: Column) -> Column:
-    """Letters without accents; what has no ASCII form is dropped."""
-    return _if_foreign(c, lambda x: F.regexp_replace(F.translate(_expanded(x), *_tables()[1]), "[^\\x00-\\x7F]", ""))
-
-
 def collapse_whitespace(c: Column) -> Column:
     """Control characters to spaces, one kind of line end, single spaces, trimmed lines, at most
     one blank line; null gives an empty text."""
@@ -85,67 +42,48 @@ def collapse_whitespace(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(t, "\\n{3,}", "\n\n"), "^\\s+|\\s+$", "")
 
 
+def _applied(name: str, fn: Callable, c: Column, ddl: str = "string", kind: pa.DataType = pa.string()) -> Column:
+    return per_value(name, fn, ddl, kind)(c)
+
+
+def ascii_fold(c: Column) -> Column:
+    """Letters without accents; what has no ASCII form is dropped."""
+    return _applied("fold", words.folded, c)
+
+
 def strip_html(c: Column) -> Column:
-    """The readable text of markup: scripts and styles gone, line breaks kept, entities resolved."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), "(?is)<(script|style|noscript)\\b.*?</\\1>", " ")
-    t = F.regexp_replace(t, "(?i)<\\s*(br|/p|/div|/li|/h[1-6])\\s*/?\\s*>", "\n")
-    t = F.regexp_replace(t, "<[^>]+>", " ")
-    for entity, sign in ENTITIES.items():
-        t = F.replace(t, F.lit(entity), F.lit(sign))
-    return collapse_whitespace(t)
+    """The readable text of markup: scripts and styles gone, line breaks kept, entities resolved; null gives an empty text."""
+    return F.coalesce(_applied("unmarked", words.unmarked, c), F.lit(""))
 
 
 def truncate(c: Column, size: int, suffix: str = "…") -> Column:
     """At most ``size`` characters, cut at a word where there is one."""
-    cut = lambda x: F.regexp_replace(F.regexp_replace(F.substring(x, 1, size - len(suffix)), "(?s)(?<=.) [^ ]*$", ""), "[ ,;:.-]+$", "")
-    return once(c, lambda x: F.when(F.length(x) <= size, x).otherwise(F.concat(cut(x), F.lit(suffix))))
+    return _applied(f"truncate {size} {suffix}", partial(words.shortened, size=size, suffix=suffix), c)
 
 
 def clean_text(c: Column, size: int | None = None) -> Column:
-    """Plain text, or null for nothing and for placeholders."""
-    markup = lambda x: F.contains(x, F.lit("<")) & F.contains(x, F.lit(">"))
-    t = once(c, lambda x: F.when(x.isNotNull(), F.when(markup(x), strip_html(x)).otherwise(collapse_whitespace(x))))
-    t = once(nfkc(t), lambda x: F.when((x != "") & ~F.lower(F.trim(x)).isin(*PLACEHOLDERS), x))
-    return truncate(t, size) if size else t
+    """Plain text in compatibility form, or null for nothing and for placeholders."""
+    return _applied(f"clean {size}", partial(words.cleaned, size=size), c)
 
 
 def slugify(c: Column) -> Column:
     """Lower-case ASCII words joined by hyphens, or null."""
-    s = F.regexp_replace(F.lower(ascii_fold(c)), "[^a-z0-9]+", "-")
-    return once(F.regexp_replace(s, "^-+|-+$", ""), lambda x: F.when(x != "", x))
+    return _applied("slug", words.slug, c)
 
 
 def drop_tagline(c: Column) -> Column:
     """The head before the first separator that leaves at least two characters."""
-    out = c
-    for sep in reversed(SEPARATORS):
-        head = F.trim(F.substring_index(c, sep, 1))
-        out = F.when(F.contains(c, F.lit(sep)) & (F.length(head) >= 2), head).otherwise(out)
-    return out
-
-
-def _tokens(folded: Column) -> Column:
-    return F.filter(F.split(folded, "[^a-z0-9]+"), lambda x: x != "")
+    return _applied("head", words.head, c)
 
 
 def canonical_name(c: Column, drop_noise: bool = True, tagline: bool = True) -> Column:
-    """Comparison key of a name: 'Open AI', 'OpenAI' and 'OpenAI Inc.' have the same one."""
-    t = clean_text(c)
-    if tagline:
-        t = once(t, drop_tagline)
-    words = _tokens(F.lower(ascii_fold(t)))
-
-    def kept(x: Column) -> Column:
-        rest = F.filter(x, lambda w: ~w.isin(*NAME_NOISE))
-        return F.when((F.size(x) > 1) & (F.size(rest) > 0), rest).otherwise(x) if drop_noise else x
-
-    return once(F.array_join(once(words, kept), ""), lambda x: F.when(x != "", x))
+    """Comparison key of a name: case, accents, spaces, taglines and legal forms make no difference."""
+    return _applied(f"key {drop_noise} {tagline}", partial(words.name_key, drop_noise=drop_noise, tagline=tagline), c)
 
 
 def name_tokens(c: Column) -> Column:
     """Distinct words of a name that carry identity; null gives none."""
-    words = _tokens(F.lower(ascii_fold(F.coalesce(c, F.lit("")))))
-    return F.array_distinct(F.filter(words, lambda w: ~w.isin(*NAME_NOISE)))
+    return F.coalesce(_applied("tokens", words.identity_words, c, "array<string>", pa.list_(pa.string())), F.array().cast("array<string>"))
 
 
 def token_ratio(a: Column, b: Column) -> Column:
@@ -244,9 +182,10 @@ def tri_state(c: Column) -> Column:
     return F.when(w.isin(*YES), True).when(w.isin(*NO), False)
 
 
-def code_word(c: Column) -> Column:
-    """A code in one spelling: trimmed, lower case, blanks and hyphens as underscores."""
-    return F.translate(F.lower(F.trim(c)), " -", "__")
+def code_word(c: Column, known: tuple[str, ...] = ()) -> Column:
+    """A code in one spelling: trimmed, lower case, blanks and hyphens as underscores; null if it is not among the ``known``."""
+    w = F.translate(F.lower(F.trim(c)), " -", "__")
+    return F.when(w.isin(*known), w) if known else w
 
 
 def distinct_by(items: Column, key: Callable[[Column], Column]) -> Column:
@@ -254,11 +193,10 @@ def distinct_by(items: Column, key: Callable[[Column], Column]) -> Column:
     return once(items, lambda v: once(F.transform(v, key), lambda keys: F.filter(v, lambda x, i: F.array_position(keys, keys[i]) == i + 1)))
 
 
-def clean_list(items: Column, size: int = 80) -> Column:
-    """Clean texts of an array without blanks, each once whatever its case; null gives an empty one."""
-    trimmed = F.filter(F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda x: F.regexp_replace(F.coalesce(x, F.lit("")), "^[\\s\\x{a0}]+|[\\s\\x{a0}]+$", "")), lambda x: (x != "") & ~F.lower(x).isin(*PLACEHOLDERS))
-    squeezed = F.transform(trimmed, lambda x: F.regexp_replace(x, "[ \\t\\x{a0}]+", " "))
-    return distinct_by(F.transform(squeezed, lambda x: truncate(x, size)), F.lower)
+def clean_list(items: Column, size: int = 80, most: int | None = None) -> Column:
+    """Clean texts of an array without blanks, each once whatever its case, at most ``most``; null gives an empty one."""
+    fn = partial(words.distinct_texts, size=size, most=most)
+    return F.coalesce(_applied(f"list {size} {most}", fn, items, "array<string>", pa.list_(pa.string())), F.array().cast("array<string>"))
 
 
 def content_hash(*parts: Column) -> Column:

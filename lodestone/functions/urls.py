@@ -1,132 +1,39 @@
 """Web addresses as Spark columns: one normal form, hosts, registrable domains, product identity."""
 
-from __future__ import annotations
+from functools import partial
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import canonical_name, once
-
-# Parameters that track a visitor.
-TRACKING_PREFIXES = ("utm_", "pk_", "mc_", "ml_", "vero_", "_hs", "hsa_", "matomo_")
-TRACKING = (
-    "ref", "ref_src", "referrer", "source", "fbclid", "gclid", "gclsrc", "dclid", "msclkid", "twclid", "igshid", "yclid", "wbraid", "gbraid", "si", "spm",
-    "mkt_tok", "trk", "sc_channel", "sc_campaign", "cmpid", "campaignid", "adgroupid", "aff", "affiliate", "partner", "via", "lang_hint",
-)
-# Files that stand for their folder.
-INDEX_FILES = ("index.html", "index.htm", "index.php", "default.aspx", "home.html")
-# Public suffixes of more than one label.
-SUFFIXES = (
-    "co.uk", "org.uk", "ac.uk", "gov.uk", "co.jp", "or.jp", "ne.jp", "co.kr", "com.au", "net.au", "org.au", "co.nz", "com.br", "com.mx", "com.ar",
-    "co.in", "net.in", "org.in", "com.sg", "com.hk", "com.tw", "com.tr", "co.za", "com.cn", "net.cn", "org.cn", "gov.cn", "com.ua", "co.il",
-    "com.pl", "com.es", "com.pt", "com.my", "co.id", "com.ph", "com.vn", "github.io", "gitlab.io", "pages.dev", "workers.dev", "vercel.app",
-    "netlify.app", "web.app", "firebaseapp.com", "herokuapp.com", "streamlit.app", "hf.space", "notion.site", "framer.website", "wixsite.com",
-    "bubbleapps.io", "repl.co", "replit.app", "glitch.me", "on.fleek.co", "surge.sh",
-)
-# Hosts of many unrelated products.
-SHARED_HOSTS = (
-    "github.com", "gitlab.com", "huggingface.co", "notion.so", "notion.site", "vercel.app", "netlify.app", "streamlit.app", "gumroad.com", "carrd.co",
-    "framer.app", "framer.website", "webflow.io", "wixsite.com", "replit.app", "glitch.me", "herokuapp.com", "pages.dev", "web.app", "firebaseapp.com",
-    "bubbleapps.io", "softr.app", "canva.site", "apps.apple.com", "play.google.com", "chromewebstore.google.com", "chrome.google.com",
-    "microsoftedge.microsoft.com", "producthunt.com", "theresanaiforthat.com", "creati.ai", "toolpilot.ai", "futurepedia.io", "dang.ai", "opentools.ai",
-    "topai.tools", "poweredbyai.app", "aivalley.ai", "easywithai.com", "foundr.ai", "rankmyai.com", "aipure.ai", "aitoolnet.com", "aichief.com",
-    "aixploria.com", "rundown.ai",
-)
-# Path segments that name a page of a product, not a product.
-GENERIC = (
-    "pricing", "price", "prices", "plans", "plan", "billing", "home", "homepage", "index", "main", "welcome", "start", "landing", "about", "about-us",
-    "aboutus", "contact", "contact-us", "login", "log-in", "signin", "sign-in", "signup", "sign-up", "register", "get-started", "getting-started",
-    "getstarted", "try", "try-free", "free", "download", "downloads", "install", "en-us", "en-gb", "default",
-)
+from lodestone.functions.address import GENERIC, INDEX_FILES, SHARED_HOSTS, SUFFIXES, TRACKING, TRACKING_PREFIXES, absolute, is_asset, outside, parsed, registrable
+from lodestone.functions.batches import per_value
+from lodestone.functions.text import canonical_name
+
 # Fixed value: the name space of entity ids.
 NAMESPACE = "96698491-5cba-59c7-87fb-7227140cc168"
 
-_PARTS = r"^([a-z][a-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:@]*)(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-_SAFE = {"%2F": "/", "%7E": "~", "%21": "!", "%24": "$", "%26": "&", "%27": "'", "%28": "(", "%29": ")", "%2B": "+", "%2C": ",", "%3B": ";", "%3D": "=", "%3A": ":", "%40": "@", "%25": "%"}
-
-
-def _decode(c: Column) -> Column:
-    return once(c, lambda x: F.when(F.contains(x, F.lit("%")), F.coalesce(F.try_url_decode(F.regexp_replace(x, "\\+", "%2B")), x)).otherwise(x))
-
-
-def _quote_path(c: Column) -> Column:
-    def coded(x: Column) -> Column:
-        out = F.replace(F.url_encode(x), F.lit("+"), F.lit("%20"))
-        for code, plain in _SAFE.items():
-            out = F.replace(out, F.lit(code), F.lit(plain))
-        return F.when(x.rlike("^[A-Za-z0-9/._~!$&'()*+,;=:@%-]*$"), x).otherwise(out)
-
-    return once(c, coded)
-
-
-def _quote_plus(c: Column) -> Column:
-    return F.replace(F.replace(F.url_encode(c), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
-
-
-def _raw(url: Column) -> Column:
-    u = F.regexp_replace(F.regexp_replace(url, "\\s|\\x{a0}", ""), "^[<>\"']+|[<>\"']+$", "")
-    u = once(u, lambda x: F.when(x.startswith("//"), F.concat(F.lit("https:"), x)).otherwise(x))
-    u = once(u, lambda x: F.when(~x.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), F.concat(F.lit("https://"), F.regexp_replace(x, "^/+", ""))).otherwise(x))
-    return once(u, lambda x: F.concat(F.lower(F.regexp_extract(x, "^([^:]*)", 1)), F.regexp_replace(x, "^[^:]*", "")))
-
-
-def _split(u: Column) -> Column:
-    fields = F.named_struct(*[x for k, name in enumerate(("scheme", "host", "port", "path", "query", "route"), 1) for x in (F.lit(name), F.regexp_extract(u, _PARTS, k))])
-
-    def checked(f: Column) -> Column:
-        host = F.regexp_replace(F.lower(f["host"]), "\\.+$", "")
-        named = F.named_struct(F.lit("host"), F.regexp_replace(host, "^www\\.", ""), *[x for k in ("port", "path", "query", "route") for x in (F.lit(k), f[k])])
-        return F.when(f["scheme"].isin("http", "https") & F.contains(host, F.lit(".")), named)
-
-    return once(fields, checked)
-
-
-def _tracks(pair: Column) -> Column:
-    prefixes = "^(" + "|".join(TRACKING_PREFIXES) + ")"
-    return once(F.lower(F.regexp_extract(pair, "^([^=]*)", 1)), lambda k: k.isin(*TRACKING) | k.rlike(prefixes))
-
-
-def _query(query: Column) -> Column:
-    pairs = F.filter(F.split(query, "&"), lambda x: (x != "") & ~_tracks(_decode(x)))
-    value = lambda x: _decode(F.replace(x, F.lit("+"), F.lit(" ")))
-    split = F.array_sort(F.transform(pairs, lambda x: F.named_struct(F.lit("k"), value(F.regexp_extract(x, "^([^=]*)", 1)), F.lit("v"), value(F.regexp_replace(x, "^[^=]*=?", "")))))
-    return F.array_join(F.transform(split, lambda x: F.concat(_quote_plus(x["k"]), F.lit("="), _quote_plus(x["v"]))), "&")
-
-
-def _finish(p: Column) -> Column:
-    segments = F.filter(F.split(_decode(p["path"]), "/"), lambda x: x != "")
-    segments = once(segments, lambda s: F.when(F.lower(F.try_element_at(s, F.lit(-1))).isin(*INDEX_FILES), F.slice(s, F.lit(1), F.size(s) - 1)).otherwise(s))
-    port = F.when(p["port"].isin("", "80", "443", "0"), F.lit("")).otherwise(F.concat(F.lit(":"), p["port"]))
-    tail = lambda q: F.concat(F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")), F.when(p["route"].rlike("^[/!]"), F.concat(F.lit("#"), p["route"])).otherwise(F.lit("")))
-    trimmed = lambda u, s: F.when((F.size(s) > 0) & u.endswith("/"), F.substring(u, F.lit(1), F.length(u) - 1)).otherwise(u)
-
-    def whole(s: Column) -> Column:
-        u = F.concat(F.lit("https://"), p["host"], port, F.lit("/"), _quote_path(F.array_join(s, "/")), once(_query(p["query"]), tail))
-        return F.named_struct(F.lit("url"), once(u, lambda x: trimmed(x, s)), F.lit("host"), p["host"], F.lit("segments"), s)
-
-    return F.when(p.isNotNull(), once(segments, whole))
+_ADDRESS = "struct<url:string,host:string,segments:array<string>,product:struct<host:string,domain:string,segments:array<string>,key:string,root:boolean,shared:boolean>>"
+_LIST = pa.list_(pa.string())
+_PRODUCT = pa.struct([("host", pa.string()), ("domain", pa.string()), ("segments", _LIST), ("key", pa.string()), ("root", pa.bool_()), ("shared", pa.bool_())])
+_KIND = pa.struct([("url", pa.string()), ("host", pa.string()), ("segments", _LIST), ("product", _PRODUCT)])
 
 
-def address(url: Column) -> Column:
-    """struct(url, host, segments): the normal form of an address, its host and decoded path
-    segments; null if it is no http address."""
-    return once(_raw(url), lambda u: once(_split(u), _finish))
+def address(url: Column, keep_query: bool = True, keep_path: bool = True, force_https: bool = True) -> Column:
+    """struct(url, host, segments, product): the normal form of an address, its host, decoded path
+    segments and product; null if it is no http address. One Arrow pass per distinct value."""
+    fn = partial(parsed, keep_query=keep_query, keep_path=keep_path, force_https=force_https)
+    return per_value(f"address {keep_query} {keep_path} {force_https}", fn, _ADDRESS, _KIND)(url)
 
 
-def normalize_url(url: Column) -> Column:
+def normalize_url(url: Column, keep_query: bool = True, keep_path: bool = True, force_https: bool = True) -> Column:
     """The normal form of an address, or null."""
-    return address(url)["url"]
-
-
-def _registrable(host: Column) -> Column:
-    many = "|".join(s.replace(".", "\\.") for s in SUFFIXES)
-    depth = once(F.regexp_extract(host, f"\\.({many})$", 1), lambda x: F.when(x == "", F.lit(2)).otherwise(F.size(F.split(x, "\\.")) + 1))
-    return once(F.split(host, "\\."), lambda labels: F.when(F.size(labels) <= 2, host).otherwise(once(depth, lambda d: F.array_join(F.slice(labels, -d, d), "."))))
+    return address(url, keep_query, keep_path, force_https)["url"]
 
 
 def registrable_domain(host: Column) -> Column:
     """The domain a host was registered under."""
-    return F.when(host.isNotNull(), once(host, _registrable))
+    return per_value("registrable", registrable, "string", pa.string())(host)
 
 
 def same_site(a: Column, b: Column) -> Column:
@@ -134,26 +41,25 @@ def same_site(a: Column, b: Column) -> Column:
     return F.coalesce(registrable_domain(a) == registrable_domain(b), F.lit(False))
 
 
+def is_internal(url: Column, site: Column) -> Column:
+    """Whether two addresses lie under one registrable domain; false if either is none."""
+    return F.coalesce(product(url)["domain"] == product(site)["domain"], F.lit(False))
+
+
+def is_probably_url(value: Column) -> Column:
+    """Whether a text has the shape of an address; null is none."""
+    v = F.trim(value)
+    host = F.regexp_extract(v, "^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*)", 1)
+    bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":.*$", "")
+    return F.coalesce((v != "") & ~F.contains(v, F.lit(" ")) & bare.rlike("^[^.].*\\..*[^.]$"), F.lit(False))
+
+
 def product(url: Column) -> Column:
     """struct(host, domain, segments, key, root, shared): the product that an address stands for.
 
     A leading locale and trailing pages of any product ('pricing', 'login') are no part of it.
     """
-
-    def of(a: Column) -> Column:
-        s = F.transform(a["segments"], F.lower)
-        s = once(s, lambda x: F.when(F.try_element_at(x, F.lit(1)).rlike("^[a-z]{2}(-[a-z]{2})?$"), F.slice(x, F.lit(2), F.size(x))).otherwise(x))
-        # Keep up to the last segment that is not generic.
-        last = lambda x: F.coalesce(F.array_max(F.transform(x, lambda y, i: F.when(~y.isin(*GENERIC), i + 1).otherwise(0))), F.lit(0))
-        s = once(s, lambda x: F.slice(x, F.lit(1), last(x)))
-        domain = registrable_domain(a["host"])
-        return once(s, lambda x: F.named_struct(
-            F.lit("host"), a["host"], F.lit("domain"), domain, F.lit("segments"), x,
-            F.lit("key"), F.concat(a["host"], F.when(F.size(x) > 0, F.concat(F.lit("/"), F.array_join(x, "/"))).otherwise(F.lit(""))),
-            F.lit("root"), F.size(x) == 0, F.lit("shared"), domain.isin(*SHARED_HOSTS),
-        ))
-
-    return once(address(url), lambda a: F.when(a.isNotNull(), of(a)))
+    return address(url)["product"]
 
 
 def path_conflict(a: Column, b: Column) -> Column:
@@ -162,42 +68,44 @@ def path_conflict(a: Column, b: Column) -> Column:
     return (a["host"] == b["host"]) & ~a["root"] & ~b["root"] & (F.slice(a["segments"], F.lit(1), n) != F.slice(b["segments"], F.lit(1), n))
 
 
-def identity(name: Column, website: Column, listing: Column, company: Column | None = None) -> Column:
-    """struct(key, basis, confidence): the strongest identity a record has, or null.
+def identity_of(products: list[tuple[str, Column, str]], name_key: Column, firm_key: Column | None = None) -> Column:
+    """struct(key, basis, confidence): the strongest identity of a record, or null.
 
-    The website comes first, then the listing, then the name (with the company). The root of a
-    shared host identifies nothing.
+    ``products`` are (kind, product, confidence), strongest first; after them comes the name's
+    key (with the company's). The root of a shared host identifies nothing.
     """
     made = lambda k, b, c: F.named_struct(F.lit("key"), k, F.lit("basis"), b, F.lit("confidence"), F.lit(c))
-    told = lambda p: p.isNotNull() & ~(p["shared"] & p["root"])
-    site = once(product(website), lambda p: F.when(told(p), made(p["key"], F.when(p["root"], F.lit("website_domain")).otherwise(F.lit("website_product_url")), "high")))
-    page = once(product(listing), lambda p: F.when(told(p), made(p["key"], F.when(p["root"], F.lit("listing_domain")).otherwise(F.lit("listing_product_url")), "medium")))
 
-    def named(c: Column) -> Column:
-        alone = F.when(c.isNotNull(), made(c, F.lit("name"), "low"))
-        if company is None:
-            return alone
-        return once(canonical_name(company), lambda firm: F.when(c.isNotNull() & firm.isNotNull(), made(F.concat(c, F.lit("@"), firm), F.lit("name+company"), "medium")).otherwise(alone))
+    def placed(kind: str, p: Column, confidence: str) -> Column:
+        basis = F.when(p["root"], F.lit(f"{kind}_domain")).otherwise(F.lit(f"{kind}_product_url"))
+        return F.when(p.isNotNull() & ~(p["shared"] & p["root"]), made(p["key"], basis, confidence))
+
+    named = F.when(name_key.isNotNull(), made(name_key, F.lit("name"), "low"))
+    if firm_key is not None:
+        named = F.when(name_key.isNotNull() & firm_key.isNotNull(), made(F.concat(name_key, F.lit("@"), firm_key), F.lit("name+company"), "medium")).otherwise(named)
+    return F.coalesce(*[placed(*p) for p in products], named)
 
-    return F.coalesce(site, page, once(canonical_name(name), named))
+
+def identity(name: Column, website: Column, listing: Column, company: Column | None = None, canonical: Column | None = None) -> Column:
+    """``identity_of`` raw texts: a canonical address before the website, then the listing, then the name."""
+    products = [] if canonical is None else [("canonical", product(canonical), "high")]
+    products += [("website", product(website), "high"), ("listing", product(listing), "medium")]
+    return identity_of(products, canonical_name(name), None if company is None else canonical_name(company))
 
 
 def entity_id(kind: str, key: Column) -> Column:
     """The version-5 UUID of an entity, from its kind and identity key."""
     seed = F.concat(F.lit(f"{kind.strip().lower()}:"), F.lower(F.trim(key)))
-    digest = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE.replace("-", ""))), F.encode(seed, "UTF-8")))
-
-    def shaped(h: Column) -> Column:
-        variant = F.lower(F.hex(F.conv(F.substring(h, 17, 2), 16, 10).cast("int").bitwiseAND(63).bitwiseOR(128)))
-        part = lambda a, n: F.substring(h, a, n)
-        return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(19, 2), F.lit("-"), part(21, 12))
-
-    return F.when(key.isNotNull(), once(digest, shaped))
+    h = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE.replace("-", ""))), F.encode(seed, "UTF-8")))
+    part = lambda a, n: F.substring(h, a, n)
+    variant = F.lower(F.hex(F.conv(part(17, 2), 16, 10).cast("int").bitwiseAND(63).bitwiseOR(128)))
+    return F.when(key.isNotNull(), F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(19, 2), F.lit("-"), part(21, 12)))
 
 
 def candidate_key(name: Column, website: Column, listing: Column) -> Column:
     """Exact-identity key of a sighting: its site, else its listing, else its name."""
-    site = once(product(website), lambda p: F.when(p.isNotNull(), F.concat(F.when(p["root"], F.lit("domain:")).otherwise(F.lit("url:")), p["key"])))
+    p = product(website)
+    site = F.when(p.isNotNull(), F.concat(F.when(p["root"], F.lit("domain:")).otherwise(F.lit("url:")), p["key"]))
     page = F.concat(F.lit("listing:"), normalize_url(listing))
     return F.coalesce(site, page, F.concat(F.lit("name:"), F.lower(F.trim(F.coalesce(name, F.lit(""))))))
 
@@ -208,16 +116,36 @@ def url_slug(url: Column) -> Column:
 
 
 def looks_like_asset(url: Column) -> Column:
-    """Whether an address names a file to load, not a page."""
-    return F.lower(url).rlike(r"\.(png|jpe?g|gif|svg|webp|ico|css|js|mjs|json|xml|woff2?|ttf|mp4|pdf|zip)([?#].*)?$")
+    """Whether an address names a file to load, not a page; no address is one."""
+    return F.coalesce(per_value("asset", is_asset, "boolean", pa.bool_())(url), F.lit(True))
 
 
 def absolutize(href: Column, base: Column) -> Column:
     """The normal form of a link on a page, or null where it leads to no page."""
-    origin = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_replace(base, "[?#].*$", ""), "(?<=[^/:])/[^/]*$", "/")
-    h = F.trim(href)
-    whole = F.when(h.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), h).when(h.startswith("//"), F.concat(F.lit("https:"), h)).when(h.startswith("/"), F.concat(origin, h)).when(h.startswith("?"), F.concat(F.regexp_replace(base, "[?#].*$", ""), h)).otherwise(F.concat(F.regexp_replace(folder, "(?<=[^/])$", "/"), h))
-    for _ in range(4):
-        whole = F.regexp_replace(whole, r"/\./|(?<=[^/:])/(?!\.\./)[^/]+/\.\./", "/")
-    return F.when((h != "") & ~h.rlike("(?i)^(#|javascript:|mailto:|tel:|data:)"), normalize_url(whole))
+
+    @F.arrow_udf("string")
+    def joined(h: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else absolute(x, y) for x, y in zip(h.to_pylist(), b.to_pylist())], pa.string())
+
+    return joined(href, base)
+
+
+def absolutize_all(hrefs: Column, base: Column) -> Column:
+    """The links of a page in normal form, in order, null where one leads to no page."""
+
+    @F.arrow_udf("array<string>")
+    def joined(h: pa.Array, b: pa.Array) -> pa.Array:
+        rows = [None if x is None else [None if v is None else absolute(v, y) for v in x] for x, y in zip(h.to_pylist(), b.to_pylist())]
+        return pa.array(rows, pa.list_(pa.string()))
+
+    return joined(hrefs, base)
+
+
+def off_site(hrefs: Column, base: Column) -> Column:
+    """The links of a page that lead to pages of other sites, in normal form and order, each once."""
+
+    @F.arrow_udf("array<string>")
+    def away(h: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else outside(x, y) for x, y in zip(h.to_pylist(), b.to_pylist())], pa.list_(pa.string()))
+
+    return away(hrefs, base)

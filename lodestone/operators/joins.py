@@ -22,17 +22,24 @@ def cascade(left: DataFrame, right: DataFrame, steps: Sequence[tuple[str, str, s
 
     ``steps`` are (label, left column, right column), strongest first. On the right the first
     row of a key by ``order`` stands for it. Adds ``matched`` (right_id) and ``matched_by``.
-    All steps are tried in one join: keys are labelled and stacked, so each side is shuffled once.
+    All steps are tried in one join: keys are labelled and stacked, so each side is shuffled once;
+    missing keys meet nothing and stay out of the join. Equal left rows all stay.
     """
-    keyed = F.explode(F.array(*[F.struct(F.lit(k).alias("step"), F.col(r).cast("string").alias("key")) for k, (_, _, r) in enumerate(steps)]))
+    label = lambda k, c: F.struct(F.lit(k).alias("step"), F.col(c).cast("string").alias("key"))
+    keyed = F.explode(F.array(*[label(k, r) for k, (_, _, r) in enumerate(steps)]))
     found = right.select(F.col(order).alias("o"), F.col(right_id).alias("matched"), keyed.alias("k")).where("k.key is not null")
     found = found.groupBy("k.step", "k.key").agg(F.min_by("matched", F.struct("o", "matched")).alias("matched"))
-    probe = F.explode_outer(F.array(*[F.struct(F.lit(k).alias("step"), F.col(c).cast("string").alias("key")) for k, (_, c, _) in enumerate(steps)]))
+    present = F.filter(F.array(*[label(k, c) for k, (_, c, _) in enumerate(steps)]), lambda x: x["key"].isNotNull())
     names = F.array(*[F.lit(label) for label, _, _ in steps])
-    rows = left.withColumn("_k", probe).withColumn("step", F.col("_k.step")).withColumn("key", F.col("_k.key"))
-    hit = rows.join(found, ["step", "key"], "left")
-    best = hit.groupBy(*left.columns).agg(F.min(F.when(F.col("matched").isNotNull(), F.struct("step", "matched"))).alias("best"))
-    return best.select(*left.columns, F.col("best.matched").alias("matched"), F.try_element_at(names, F.col("best.step") + 1).alias("matched_by"))
+    own = left.columns
+    probes = left.select("*", F.posexplode_outer(present).alias("_place", "_k"))
+    hit = probes.where("_k is not null").withColumn("_step", F.col("_k.step")).withColumn("_key", F.col("_k.key"))
+    hit = hit.join(found.select(F.col("step").alias("_step"), F.col("key").alias("_key"), F.col("matched").alias("_matched")), ["_step", "_key"], "left")
+    alone = probes.where("_k is null").withColumn("_step", F.lit(0)).withColumn("_matched", F.lit(None).cast(found.schema["matched"].dataType))
+    both = hit.select(*own, "_place", "_step", "_matched").union(alone.select(*own, "_place", "_step", "_matched"))
+    best = both.groupBy(*own).agg(F.min(F.when(F.col("_matched").isNotNull(), F.struct("_step", "_matched"))).alias("_best"), F.count_if(F.coalesce("_place", F.lit(0)) == 0).alias("_rows"))
+    best = best.select(*own, "_best", F.explode(F.sequence(F.lit(1).cast("bigint"), "_rows")))
+    return best.select(*own, F.col("_best._matched").alias("matched"), F.try_element_at(names, F.col("_best._step") + 1).alias("matched_by"))
 
 
 def allowed(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -13,26 +13,41 @@ from lodestone.functions import urls
 
 # What the interstitial pages of bot protection say.
 CHALLENGE = (
-    "just a moment", "checking your browser", "cf-browser-verification", "cf-challenge", "/cdn-cgi/challenge-platform", "attention required! | cloudflare",
-    "enable javascript and cookies to continue", "verify you are human", "ddos protection by", "captcha-delivery",
+    "just a moment...", "enable javascript and cookies to continue", "checking your browser before accessing", "cf-browser-verification", "cf_chl_opt",
+    "attention required! | cloudflare", "ddos protection by", "access denied", "request unsuccessful. incapsula", "please verify you are a human",
 )
+# Refusals, and from what size on the body of one may be real content.
+REFUSED, LONG_BODY = (401, 403, 429), 200_000
 VIEW = "struct<title:string,metas:map<string,string>,headings:array<struct<level:int,text:string>>,bullets:array<string>,anchors:array<struct<href:string,label:string>>,images:array<struct<src:string,alt:string>>,jsonld:array<string>,has_password:boolean,text:string>"
 
 
-def looks_like_challenge(body: Column, status: Column) -> Column:
-    """Whether a page is a bot check: by its words, or a refusal with a short body."""
-    whole = F.lower(F.coalesce(body, F.lit("")))
-    said = F.lit(False)
-    for m in CHALLENGE:
-        said = said | F.contains(whole, F.lit(m))
-    return said | (F.coalesce(status.isin(401, 403, 429), F.lit(False)) & (F.length(F.coalesce(body, F.lit(""))) < 200_000) & F.contains(whole, F.lit("cloudflare")))
+def looks_like_challenge(body: Column, status: Column, first: int | None = None) -> Column:
+    """Whether a page is a bot check: a refusal without a long body, or what the page says.
 
+    The whole page is searched, or its ``first`` characters if they are given.
+    """
+    refused = F.coalesce(status.isin(*REFUSED), F.lit(False)) & (F.coalesce(F.length(body), F.lit(0)) < LONG_BODY)
+    said = F.lower(body if first is None else F.substring(body, 1, first)).rlike("|".join("\\Q" + m + "\\E" for m in CHALLENGE))
+    return refused | F.coalesce(said, F.lit(False))
+
+
+def link_paths(body: Column) -> Column:
+    """The distinct links of a page in order, without query and fragment; links that lead to no page
+    and those that change with every answer are left out."""
+    links = F.transform(F.regexp_extract_all(body, F.lit("(?i)<a\\s[^>]*?href\\s*=\\s*[\"']([^\"']*)"), 1), F.trim)
+    pages = F.filter(links, lambda x: ~x.rlike("^(#|javascript:|mailto:|tel:|data:)"))
+    paths = F.transform(pages, lambda x: F.regexp_replace(x, "[?#].*$", ""))
+    return F.array_distinct(F.filter(paths, lambda x: (x != "") & ~F.contains(x, F.lit("/cdn-cgi/"))))
 
-def fingerprint(body: Column) -> Column:
-    """SHA-256 of a page: its distinct link paths in order, else its whole text."""
-    links = F.regexp_extract_all(body, F.lit("(?i)<a\\s[^>]*href\\s*=\\s*[\"']([^\"'#?]+)"), 1)
-    links = F.array_distinct(F.filter(links, lambda x: ~F.contains(x, F.lit("/cdn-cgi/"))))
-    return F.when(body.isNotNull(), F.sha2(F.when(F.size(links) > 0, F.array_join(links, "\n")).otherwise(body), 256))
+
+def fingerprint(body: Column, links: int | None = None, characters: int | None = None) -> Column:
+    """SHA-256 of a page: its distinct link paths in order, else its whole text; null for no page.
+
+    At most ``links`` links or ``characters`` count, if those are given.
+    """
+    found = link_paths(body) if links is None else F.slice(link_paths(body), 1, links)
+    rest = body if characters is None else F.substring(body, 1, characters)
+    return F.when(F.trim(body) != "", F.sha2(F.when(F.size(found) > 0, F.array_join(found, "\n")).otherwise(rest), 256))
 
 
 def freshest(fetches: DataFrame) -> DataFrame:
@@ -83,6 +98,7 @@ class _View(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.title, self.metas, self.headings, self.bullets, self.anchors, self.images, self.jsonld, self.words = "", {}, [], [], [], [], [], []
         self.password = False
+        self.seen: dict[int, int] = {}  # images before each open anchor
         self.open: list[tuple[str, list[str], dict]] = []
         self.skip: list[str] = []
 
@@ -99,6 +115,8 @@ class _View(HTMLParser):
             if tag == "script" and a.get("type", "").lower() == "application/ld+json":
                 self.open.append(("jsonld", [], a))
         elif tag in ("title", "a", "li", "h1", "h2", "h3", "h4"):
+            if tag == "a":
+                self.seen[id(a)] = len(self.images)
             self.open.append((tag, [], a))
 
     def handle_endtag(self, tag):
@@ -119,12 +137,13 @@ class _View(HTMLParser):
         elif tag == "jsonld":
             self.jsonld.append("".join(parts))
         elif tag == "li":
-            if text and len(self.bullets) < 400:
+            if text:
                 self.bullets.append(text)
         elif tag == "a":
-            if a.get("href") and len(self.anchors) < 600:
-                self.anchors.append((a["href"], next((x for x in (a.get("title"), a.get("aria-label"), text) if x), "")))
-        elif text and sum(level == int(tag[1]) for level, _ in self.headings) < 40:
+            if a.get("href"):
+                alt = next((t for _, t in self.images[self.seen.pop(id(a), len(self.images)) :] if t), "")
+                self.anchors.append((a["href"], next((x for x in (a.get("title"), a.get("aria-label"), alt, text) if x), "")))
+        elif text:
             self.headings.append((int(tag[1]), text))
 
     def handle_data(self, data):
@@ -140,7 +159,7 @@ class _View(HTMLParser):
 
 
 def page_view(body: Column) -> Column:
-    """The parsed page as a struct: title, metas, headings, bullets, anchors, images, JSON-LD blocks,
+    """The whole parsed page as a struct: title, metas, headings, bullets, anchors, images, JSON-LD blocks,
     whether it has a password field, and its text. Broken markup gives what could be read; null
     gives null. One Arrow-batched pass; everything else is built on this struct with columns."""
 
@@ -173,7 +192,4 @@ def jsonld_nodes(view: Column) -> Column:
 
 def outbound(view: Column, base: Column) -> Column:
     """Off-site page links of a view, in order, each once, in normal form."""
-    domain = urls.registrable_domain(urls.address(base)["host"])
-    links = F.transform(view["anchors"], lambda a: urls.absolutize(a["href"], base))
-    away = F.filter(links, lambda u: u.isNotNull() & ~urls.looks_like_asset(u) & ~F.coalesce(urls.registrable_domain(urls.address(u)["host"]) == domain, F.lit(False)))
-    return F.array_distinct(away)
+    return urls.off_site(F.transform(view["anchors"], lambda a: a["href"]), base)

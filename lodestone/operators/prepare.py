@@ -30,8 +30,9 @@ def prepare(candidates: DataFrame) -> DataFrame:
     """One row per sighting, prepared or with a reject_reason (no_name, no_pointer, no_identity).
 
     Needs row_id, name, source_key, website, listing_url, tagline, categories, discovered_at; nulls
-    are taken as missing, other columns are left out. Everything but Unicode normalisation of
-    texts that are not ASCII runs in generated code, over the scan's own partitions.
+    are taken as missing, other columns are left out. Addresses and names are parsed once per
+    distinct value of an Arrow batch, the rest runs in generated code, over the scan's own
+    partitions; nothing is shuffled.
     """
     c = candidates.select(
         "row_id",
@@ -43,8 +44,9 @@ def prepare(candidates: DataFrame) -> DataFrame:
         text.clean_list(F.col("categories")).alias("categories"),
         "discovered_at",
     )
-    c = c.select("row_id", "source_key", "name", F.col("site.url").alias("website"), F.col("site.host").alias("host"), F.col("page.url").alias("listing_url"), "observed_description", "categories", "discovered_at")
-    c = c.withColumn("identity", urls.identity(F.col("name"), F.col("website"), F.col("listing_url")))
+    c = c.withColumn("name_key", text.canonical_name(F.col("name"))).withColumn("slug", text.slugify(F.col("name")))
+    c = c.withColumn("identity", urls.identity_of([("website", F.col("site.product"), "high"), ("listing", F.col("page.product"), "medium")], F.col("name_key")))
+    c = c.withColumn("website", F.col("site.url")).withColumn("listing_url", F.col("page.url"))
     reason = F.when(F.col("name").isNull(), "no_name").when(F.col("website").isNull() & F.col("listing_url").isNull(), "no_pointer").when(F.col("identity").isNull(), "no_identity")
     c = c.select(
         "row_id",
@@ -55,10 +57,10 @@ def prepare(candidates: DataFrame) -> DataFrame:
         F.col("identity.basis").alias("identity_basis"),
         F.col("identity.confidence").alias("identity_confidence"),
         "name",
-        text.canonical_name(F.col("name")).alias("name_key"),
-        text.slugify(F.col("name")).alias("slug"),
+        "name_key",
+        "slug",
         "website",
-        urls.registrable_domain(F.col("host")).alias("website_domain"),
+        F.col("site.product.domain").alias("website_domain"),
         "listing_url",
         "observed_description",
         "categories",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -36,8 +37,14 @@ def by_source(prepared: DataFrame) -> DataFrame:
     return r.select(F.when(F.col("total") == 1, F.lit("all")).otherwise(F.coalesce("source_key", F.lit(""))).alias("source_key"), "rows", "accepted", "with_website", "high_confidence", "needs_review", "with_categories", rate(F.col("accepted"), F.col("rows")).alias("acceptance_rate"))
 
 
-def examples(df: DataFrame, code: str, order: str, n: int) -> DataFrame:
-    """(code, order, place): the first ``n`` rows of every code, kept small by partial aggregation."""
-    top = df.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("code"), (F.xxhash64(order) % 64).alias("salt")).agg(F.slice(F.array_sort(F.collect_list(order)), 1, n).alias("l"))
-    lists = top.groupBy("code").agg(F.slice(F.array_sort(F.flatten(F.collect_list("l"))), 1, n).alias("l"))
-    return lists.select("code", F.posexplode("l").alias("place", order))
+def examples(df: DataFrame, code: str, order: str, n: int, salts: int = 64) -> DataFrame:
+    """(code, place, order): the first ``n`` rows of every code.
+
+    Ranks are taken within salted parts of a code first, and then among the at most
+    ``n * salts`` rows that are left, so no task ever sorts or holds a whole code.
+    """
+    part = W.partitionBy("code", "salt").orderBy(order)
+    rows = df.where(F.col(code).isNotNull()).select(F.col(code).alias("code"), order, F.pmod(F.xxhash64(order), F.lit(salts)).alias("salt"))
+    kept = rows.withColumn("r", F.row_number().over(part)).where(F.col("r") <= n)
+    kept = kept.withColumn("r", F.row_number().over(W.partitionBy("code").orderBy(order))).where(F.col("r") <= n)
+    return kept.select("code", (F.col("r") - 1).cast("int").alias("place"), order)

@@ -160,7 +160,7 @@ def page_challenges(s, d):
 
 
 def page_fingerprints(s, d):
-    f = table(s, d, "fetch_results").where("text is not null").select("fetch_id", pages.fingerprint(F.col("text")).alias("print"))
+    f = table(s, d, "fetch_results").where("trim(text) <> ''").select("fetch_id", pages.fingerprint(F.col("text")).alias("print"))
     return f.groupBy("print").agg(F.count("*").alias("pages"), F.min("fetch_id").alias("first_id"))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from lodestone.functions import text, urls
-from lodestone.operators.pages import CHALLENGE
 from lodestone.plans.sql import addresses, clean, fold, key_of_tokens, named, plain, slug, tokens, words
 
 _CATEGORIES = f"""list_filter(list_transform(categories, lambda x: regexp_replace(regexp_replace(coalesce(x, ''), '^[\\s\\x{{00A0}}]+|[\\s\\x{{00A0}}]+$', '', 'g'), '[ \\t\\x{{00A0}}]+', ' ', 'g')), lambda x: x <> '' and lower(x) not in ({words(text.PLACEHOLDERS)}))"""
@@ -30,6 +29,11 @@ p as (select row_id, source_key, case when name is null then 'no_name' when webs
   name, name_key, {slug('name')} as slug, website, website_domain, listing_url, observed_description, array_to_string(cats, '|') as categories, len(cats) as n_cats, array_to_string(iss, '|') as issues,
   list_has_any(iss, ['weak_identity_name_only', 'no_official_website_observed', 'name_may_contain_a_tagline']) as needs_review from i)
 """
+# Fixed values, stated here again: what the interstitial pages of bot protection say.
+_CHECKS = (
+    "just a moment...", "enable javascript and cookies to continue", "checking your browser before accessing", "cf-browser-verification", "cf_chl_opt", "attention required! | cloudflare",
+    "ddos protection by", "access denied", "request unsuccessful. incapsula", "please verify you are a human",
+)
 _COLUMNS = "row_id, source_key, reject_reason, identity_key, identity_basis, identity_confidence, name, name_key, slug, website, website_domain, listing_url, observed_description, categories, issues, needs_review"
 _NS = urls.NAMESPACE.replace("-", "")
 
@@ -57,7 +61,7 @@ k as (select distinct tool_no, kind, key from (
   select tool_no, 'product' as kind, product as key from r union all select tool_no, 'host', host from r union all select tool_no, 'domain', domain from r union all
   select tool_no, 'canonical', canonical from r union all select tool_no, 'name', name_key from r union all select tool_no, 'prefix', substr(name_key, 1, 6) from r union all
   select tool_no, 'token', x from (select tool_no, unnest(tokens) as x from r) where length(x) >= 5) where key is not null),
-b as (select kind, key, count(*) as size, count(*) <= case when kind in ('prefix', 'token', 'host', 'domain') then 40 else 400 end as compared from k group by kind, key having count(*) > 1)
+b as (select kind, key, count(*) as size, count(*) > case when kind in ('prefix', 'token', 'host', 'domain') then 40 else 400 end as large from k group by kind, key having count(*) > 1)
 """
 
 
@@ -108,7 +112,7 @@ select t.tool_no, coalesce(one.id, two.id, three.id) as matched, case when one.i
 from tools t left join w on w.id = t.tool_no left join n on n.id = t.tool_no left join one on one.k = w.key left join two on two.k = w.key left join three on three.k = n.key""",
     "known_tools": "select tool_no, name from tools where tool_no in (select left_id from match_results)",
     "block_sizes": f"{_TOOLS} select * from b",
-    "candidate_pairs": f"{_TOOLS}, m as (select k.* from k join b using (kind, key) where compared) select distinct x.tool_no as left_id, y.tool_no as right_id from m x join m y using (kind, key) where x.tool_no < y.tool_no",
+    "candidate_pairs": f"{_TOOLS}, m as (select k.* from k join b using (kind, key)) select distinct x.tool_no as left_id, y.tool_no as right_id from m x join m y using (kind, key) where x.tool_no < y.tool_no",
     "match_groups": """with recursive e as (select left_id as a, right_id as b from match_results where replace(replace(lower(trim(decision)), ' ', '_'), '-', '_') = 'merge' and left_id <> right_id),
 s as (select a, b from e union select b, a from e), r(id, low) as (select a, a from s union select s.b, r.low from r join s on s.a = r.id where r.low < s.b)
 select id, min(low) as group_id from r group by id""",
@@ -128,8 +132,8 @@ select tool_no, primary_task, score, case when rk <= 12 and taken <= 200 then 's
     "signals": f"""select source_key, count(rank) as ranked, min(rank) as best_rank, max(upvotes) as most_upvotes, sum(upvotes) as upvotes, count(*) filter (where sponsored) as sponsored
 from (select source_key, {_signal('rank')} as rank, {_signal('upvotes')} as upvotes, coalesce(lower(json_extract_string(raw_signals, '$.sponsored')) in ({words(text.YES)}), false) as sponsored from raw_candidates) group by 1""",
     "content_hashes": "select doc_id, substr(sha256(coalesce(source, 'None') || chr(31) || coalesce(text, 'None') || chr(31)), 1, 16) as hash from documents",
-    "page_challenges": f"""select status, count(*) as pages, count(*) filter (where {' or '.join(f"contains(lower(substr(coalesce(text, ''), 1, 8000)), '{m}')" for m in CHALLENGE)} or (coalesce(status in (401, 403, 429), false) and contains(lower(substr(coalesce(text, ''), 1, 8000)), 'cloudflare'))) as challenges from fetch_results group by 1""",
-    "page_fingerprints": "select sha256(substr(text, 1, 4000)) as print, count(*) as pages, min(fetch_id) as first_id from fetch_results where text is not null group by 1",
+    "page_challenges": f"""select status, count(*) as pages, count(*) filter (where (coalesce(status in (401, 403, 429), false) and coalesce(length(text), 0) < 200000) or {' or '.join(f"contains(lower(coalesce(text, '')), '{m}')" for m in _CHECKS)}) as challenges from fetch_results group by 1""",
+    "page_fingerprints": "select sha256(text) as print, count(*) as pages, min(fetch_id) as first_id from fetch_results where trim(text) <> '' group by 1",
     "freshest_pages": f"with {addresses('fetch_results', 'fetch_id', 'url', 'a')} select a.url as page, arg_max(f.fetch_id, {{'t': coalesce(f.fetched_at, timestamp '1000-01-01'), 'i': f.fetch_id}}) as fetch_id, count(*) as fetches from fetch_results f join a on a.id = f.fetch_id where f.status between 200 and 299 and f.text is not null group by 1",
     "decisions": "select coalesce(replace(replace(lower(trim(decision)), ' ', '_'), '-', '_'), '') as decision, coalesce(replace(replace(lower(trim(tier)), ' ', '_'), '-', '_'), '') as tier, count(*) as n, round(avg(confidence), 4) as confidence from match_results group by 1, 2",
 }

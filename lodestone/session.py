@@ -32,8 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Where that setting is absent (tests, local runs) a temporary folder of this machine is
-    set once; a cluster must name its own.
+    Where that setting is absent, a run on one machine gets a temporary folder once; a cluster
+    must name its own, or the call fails.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -41,6 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/").rsplit("/", 1)[0]
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="lodestone-")
     spark.sparkContext.setCheckpointDir(local)
     return local

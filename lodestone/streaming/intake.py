@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,7 +29,9 @@ def keep_new(spark: SparkSession, folder: str, table: str, checkpoint: str, key)
         kept = kept.withColumn("batch", F.lit(number)).withColumn("at", F.xxhash64("file", "name", "listing_url", "website"))
         try:
             done = spark.read.parquet(table).select("key")
-        except Exception:  # the first batch finds no table
+        except AnalysisException as e:  # the first batch finds no table; any other error is one
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             done = kept.select("key").where("false")
         pending(kept, done, "key", "at").write.mode("append").parquet(table)
 

@@ -49,6 +49,8 @@ def test_joins(spark):
     right = spark.createDataFrame([(10, "x", "q"), (9, "y", "q"), (8, None, None)], "rid int, ra string, rb string")
     got = {r["id"]: (r["matched"], r["matched_by"]) for r in joins.cascade(left, right, [("first", "a", "ra"), ("second", "b", "rb")], "rid", "rid").collect()}
     assert got == {1: (10, "first"), 2: (9, "second"), 3: (None, None)}
+    twice = joins.cascade(left.union(left).union(left), right, [("first", "a", "ra"), ("second", "b", "rb")], "rid", "rid")
+    assert twice.count() == 9 and twice.where("id = 3").count() == 3
 
 
 def test_pairs(spark):
@@ -58,7 +60,8 @@ def test_pairs(spark):
     assert got == {(1, 2): ("merge", "tier_a_canonical_url"), (1, 3): ("review", "tier_e_review"), (2, 3): ("review", "tier_e_review")}
     many = spark.range(1, 61).select(F.col("id").alias("tool_no"), F.concat(F.lit("Shared "), F.col("id").cast("string")).alias("name"), F.lit(None).cast("string").alias("company"), F.lit(None).cast("string").alias("website"))
     keys = pairs.blocking_keys(pairs.records(many))
-    assert not pairs.block_sizes(keys).where("kind = 'token'").first()["compared"]
+    assert pairs.block_sizes(keys).where("kind = 'token'").first()["large"]
+    assert pairs.candidate_pairs(keys).count() == 60 * 59 // 2 and pairs.candidate_pairs(keys, skip_large=True).count() == 0
     e = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 99), (None, 5), (7, 7)], "a bigint, b bigint")
     groups = {r["id"]: r["group_id"] for r in pairs.groups(e, "a", "b").collect()}
     assert groups == {**{k: 1 for k in range(1, 41)}, 99: 99, 100: 99}
@@ -113,14 +116,19 @@ def test_pages(spark):
     made = df.where("id = 1").select(pages.page_view(F.col("body")).alias("v")).persist()
     row = made.select(pages.jsonld_nodes(F.col("v")).alias("n"), pages.outbound(F.col("v"), F.lit("https://acme.com/")).alias("o")).first()
     assert [F"{x}" for x in row["n"]] == ['{"@type":"Product","url":"https://acme.com"}'] and row["o"] == ["https://other.org/p"]
-    listing = spark.createDataFrame([("s", k, f'<a href="/p{k if k < 4 else 1}">', 200, 3) for k in range(1, 7)] + [("t", 1, None, None, 0), ("t", 2, None, None, 0), ("t", 3, "x", 200, 1), ("u", 1, "<p>Just a moment", 403, 0)], "source_key string, page_no int, body string, status int, cards int")
+    listing = spark.createDataFrame([("s", k, f'<a href="/p{k if k < 4 else 1}">', 200, 3) for k in range(1, 7)] + [("t", 1, None, None, 0), ("t", 2, None, None, 0), ("t", 3, "x", 200, 1), ("u", 1, "<p>Hello", 403, 0)], "source_key string, page_no int, body string, status int, cards int")
     ends = {r["source_key"]: (r["page_no"], r["stop_reason"]) for r in pages.walk(listing).where("stop_reason is not null").collect()}
     assert ends == {"s": (4, "repeated_content"), "t": (2, "consecutive_failures"), "u": (1, "bot_challenge")}
 
 
 def test_whole_pages(spark):
     links = "".join(f'<a href="/p{k}">' for k in range(450))
-    long = ["x" * 5000 + "a", "x" * 5000 + "b", links + '<a href="/y">', links + '<a href="/z">', "x" * 9000 + " Just a moment", "x" * 9000]
+    long = ["x" * 5000 + "a", "x" * 5000 + "b", links + '<a href="/y">', links + '<a href="/z">', "x" * 9000 + " Just a moment...", "x" * 9000]
     df = spark.createDataFrame(list(enumerate(long)), "id int, body string")
     got = [tuple(r) for r in df.orderBy("id").select(pages.fingerprint(F.col("body")), pages.looks_like_challenge(F.col("body"), F.lit(200))).collect()]
     assert len({r[0] for r in got}) == 6 and [r[1] for r in got] == [False] * 4 + [True, False]
+    checks = [("Forbidden", 403, True), (None, 403, True), (None, 401, True), ("x" * 200_000, 429, False), ("x", 503, False), ("Access Denied", 200, True), (None, None, False), ("_cf_chl_opt", 200, True)]
+    df = spark.createDataFrame([(k, *c) for k, c in enumerate(checks)], "id int, body string, status int, want boolean")
+    assert [r[0] for r in df.orderBy("id").select(pages.looks_like_challenge(F.col("body"), F.col("status"))).collect()] == [c[2] for c in checks]
+    links = spark.createDataFrame([('<a href="mailto:a@b.c">m</a><a href="javascript:x()">j</a><a href="/p?x=1#y">p</a><a href="/cdn-cgi/z">z</a>',)], "body string")
+    assert links.select(pages.link_paths(F.col("body")).alias("l")).first()["l"] == ["/p"]
