@@ -1,18 +1,16 @@
 """Freely typed values brought to a reference list, by a trie walked with a Levenshtein automaton.
 
-All labels of a field and their aliases lie in one trie. The automaton's state is the row of edit
-distances of a trie prefix to the value (with neighbouring swaps); a branch is left as soon as no
-entry below it can stay within the distance allowed for the value's length. Further paths lead to
-the same entries: words in another order around 'and', words cut short with a dot, and decorations
-at either end.
+All labels of a field lie in one trie, and so do the alias paths to them: the names their glosses
+list, further names given as a table, and their words in sorted order. The automaton's state is
+the row of edit distances of a trie prefix to the value (with neighbouring swaps); a branch is
+left as soon as no entry below it can stay within the distance allowed for the value's length.
+Words cut short with a dot are walked as open ends. The reference list is broadcast once.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,48 +18,6 @@ from pyspark.sql import functions as F
 from lodestone.llm.folding import invisible, letter_table
 from lodestone.session import bounded_rows
 
-# Further names of the entries, by label.
-ALIASES = {
-    "Writing and Editing": ("blog writer", "ghostwriting"),
-    "Image Creation": ("artwork", "illustrations"),
-    "Photo Retouching": ("picture cleanup",),
-    "Video Production": ("movie maker", "reels"),
-    "Music and Sound": ("beat maker", "soundtracks"),
-    "Speech Synthesis": ("read aloud", "tts"),
-    "Transcription": ("dictation", "captioning"),
-    "Translation": ("interpreter",),
-    "Customer Service": ("live chat support",),
-    "Sales Outreach": ("crm helper", "lead generation"),
-    "Marketing Campaigns": ("promotion", "growth"),
-    "Search Ranking": ("serp",),
-    "Software Development": ("code assistant", "dev tools"),
-    "Data Analytics": ("charts",),
-    "Spreadsheets": ("tabular work",),
-    "Presentations": ("slideshow",),
-    "Meeting Assistance": ("standup bot",),
-    "Workflow Automation": ("rpa",),
-    "Education and Tutoring": ("courses", "e-learning"),
-    "Recruiting": ("applicant tracking", "talent search"),
-    "Legal Work": ("attorney tools",),
-    "Health and Wellness": ("clinic",),
-    "Finance and Accounting": ("budgeting", "fintech"),
-    "Online Retail": ("storefront",),
-    "Games and Play": ("fun",),
-    "Research Papers": ("citations", "science"),
-    "Security and Privacy": ("data protection",),
-    "Social Networks": ("influencers",),
-    "Chat Companions": ("chatbot",),
-    "Three-Dimensional Modeling": ("cad",),
-    "free": ("costs nothing", "$0"),
-    "freemium": ("basic free",),
-    "subscription": ("per month", "recurring"),
-    "one_time": ("single purchase",),
-    "usage_based": ("billed by consumption", "per request"),
-    "credits": ("prepaid credits",),
-    "open_source": ("source available free",),
-    "contact_sales": ("custom quote", "ask for price"),
-    "paid": ("premium only",),
-}
 # Words put around a value that do not change what it means.
 BEFORE = (("ai", "powered"), ("best",), ("ai",), ("top",), ("new",), ("the",), ("my",), ("great",))
 AFTER = (("and", "more"), ("tools",), ("tool",), ("apps",), ("app",), ("ai",), ("etc",), ("software",))
@@ -99,6 +55,22 @@ class Trie:
                 node = node.setdefault(c, {})
             self.terms.setdefault(id(node), set()).add(ident)
 
+    def begun(self, words: list[tuple[str, bool]]) -> set:
+        """Entries of just these words, of which those marked may be only the beginning."""
+        states = [self.root]
+        for k, (word, open_end) in enumerate(words):
+            if k:
+                states = [x[" "] for x in states if " " in x]
+            for c in word:
+                states = [x[c] for x in states if c in x]
+            if open_end:
+                ends, todo = [], states
+                while todo:
+                    ends += todo
+                    todo = [child for x in todo for c, child in x.items() if c != " "]
+                states = ends
+        return set().union(*(self.terms.get(id(x), ()) for x in states))
+
     def exact(self, text: str) -> set:
         node = self.root
         for c in text:
@@ -153,34 +125,35 @@ class Trie:
         return found
 
 
+#: Opens the paths of words in sorted order, which no plain text holds.
+_SORTED = "\x01"
+
+
+def _in_order(words: list[str]) -> str:
+    return _SORTED + " ".join(sorted(w for w in words if w != "and"))
+
+
 class Canon:
-    """All entries of one field."""
+    """All entries of one field: (id, label, gloss, further names)."""
 
-    def __init__(self, entries: list[tuple[int, str, str | None]]):
+    def __init__(self, entries: list[tuple[int, str, str | None, tuple[str, ...]]]):
         paths: list[tuple[str, int]] = []
-        self.bags: dict[tuple, int] = {}
-        self.labels: list[tuple[int, list[str]]] = []
-        for ident, label, gloss in sorted(entries):
-            listed = [x.strip() for x in (gloss.split(":", 1)[1] if gloss and ":" in gloss else re.sub(r"^Tools for ", "", gloss or "")).rstrip(". ").split("; ")]
-            names = [label, *[x for x in listed if x], *ALIASES.get(label, ())]
-            for name in names:
-                p = plain(name)
-                if p:
-                    paths.append((p, ident))
-                    bag = tuple(sorted(w for w in p.split() if w != "and"))
-                    if len(bag) > 1:
-                        self.bags.setdefault(bag, ident)
-            self.labels.append((ident, _folded(label).replace("_", " ").split()))
+        for ident, label, gloss, further in sorted(entries):
+            listed = (gloss.split(":", 1)[1] if gloss and ":" in gloss else re.sub(r"^Tools for ", "", gloss or "")).rstrip(". ").split("; ")
+            names = [label, *listed, *further]
+            for name in names + [x.replace("-", "") for x in names if "-" in x]:
+                words = plain(name).split()
+                if words:
+                    paths.append((" ".join(words), ident))
+                    if len([w for w in words if w != "and"]) > 1:
+                        paths.append((_in_order(words), ident))
         self.trie = Trie(paths)
 
-    def find(self, value: str) -> int:
-        """The entry a value means, or 0."""
-        words = plain(value).split()
-        if not words:
-            return 0
-        bare = list(words)
-        forms = [bare]
-        while True:  # decorations, outermost first
+    def forms(self, value: str) -> list[list[str]]:
+        """The words of a value, and what is left as decorations are taken off, outermost first."""
+        bare = plain(value).split()
+        forms = [bare] if bare else []
+        while bare:
             for d in BEFORE:
                 if tuple(bare[: len(d)]) == d and len(bare) > len(d):
                     bare = bare[len(d) :]
@@ -193,86 +166,147 @@ class Canon:
                 else:
                     break
             forms.append(bare)
+        return forms
+
+    def all_within(self, value: str) -> dict[int, int]:
+        """{entry: least distance} of all entries within the distance allowed for the value's length."""
+        found: dict[int, int] = {}
+
+        def take(ids, distance: int) -> None:
+            for x in ids:
+                found[x] = min(distance, found.get(x, distance))
+
+        forms = self.forms(value)
         for f in forms:
-            if hit := self.trie.exact(" ".join(f)):
-                return min(hit)
-        for f in forms:
-            if hit := self.bags.get(tuple(sorted(w for w in f if w != "and"))):
-                return hit
-        if "." in value and (hit := self._cut_words(value)):
-            return hit
-        best: tuple[int, int] | None = None
+            take(self.trie.exact(" ".join(f)), 0)
+            if len(f) > 1:
+                take(self.trie.exact(_in_order(f)), 0)
+        if "." in value:
+            given = re.findall(r"[^\s.]+\.?", _folded(value).replace("&", " and ").replace("_", " "))
+            if any(len(g) > 3 and g.endswith(".") for g in given):
+                take(self.trie.begun([(g.rstrip("."), g.endswith(".") and len(g) > 2) for g in given]), 0)
         for f in forms:
             text = " ".join(f)
             for ident, distance in self.trie.within(text, allowed(len(text))).items():
-                best = min(best or (99, 0), (distance, ident))
-        return best[1] if best else 0
-
-    def _cut_words(self, value: str) -> int:
-        """Words cut short with a dot ('Writ. and Edit.'): every word begins the label's word."""
-        given = re.findall(r"[^\s.]+\.?", _folded(value).replace("&", " and "))
-        for ident, label in self.labels:
-            if len(label) == len(given) and any(g.endswith(".") for g in given):
-                if all(a == g or (g.endswith(".") and len(g) > 2 and a.startswith(g[:-1])) for a, g in zip(label, given)):
-                    return ident
-        return 0
-
+                take((ident,), distance)
+        return found
 
-@lru_cache(8)
-def _canons(entries: tuple) -> dict[str, tuple[Canon, dict]]:
-    by: dict[str, list] = {}
-    for field, ident, label, gloss in entries:
-        by.setdefault(field, []).append((ident, label, gloss))
-    return {field: (Canon(x), {}) for field, x in by.items()}
+    def find(self, value: str) -> int:
+        """The entry a value means, the nearest and of equals the smallest id, or 0."""
+        forms = self.forms(value)
+        for f in forms:
+            if hit := self.trie.exact(" ".join(f)):
+                return min(hit)
+        found = self.all_within(value)
+        return min(found, key=lambda x: (found[x], x)) if found else 0
 
 
-def matcher(canonical: DataFrame, field: str, max_entries: int = 200_000) -> tuple:
-    """(function Column -> Column of ids, labels) for one field of a reference list of at most
-    ``max_entries`` rows. Null gives null; a value that means nothing on the list gives 0."""
-    rows = bounded_rows(canonical.select("field_name", "canonical_id", "label", "gloss").where((F.col("field_name") == field) & F.col("label").isNotNull() & F.col("canonical_id").isNotNull()).orderBy("canonical_id"), max_entries, "the reference list")
-    entries = tuple((r["field_name"], r["canonical_id"], r["label"], r["gloss"]) for r in rows)
+_BUILT: dict[tuple[int, str], tuple[Canon, dict]] = {}
 
-    @F.pandas_udf("int")
-    def ids(values: pd.Series) -> pd.Series:
-        canon, seen = _canons(entries).get(field, (None, {}))
 
-        def one(v):
-            if v is None or canon is None:
-                return None if v is None else 0
-            if (got := seen.get(v)) is None:
-                if len(seen) > 200_000:
-                    seen.clear()
-                got = seen[v] = canon.find(v)
-            return got
+class Reference:
+    """A reference list of at most ``max_entries`` rows, broadcast once for all its fields.
 
-        return pd.Series([one(v) for v in values], dtype="Int32")
+    ``aliases`` (field_name, label, alias) are further names of entries, at most as many.
+    """
 
-    return ids, [r["label"] for r in rows]
+    def __init__(self, canonical: DataFrame, aliases: DataFrame | None = None, max_entries: int = 200_000):
+        rows = bounded_rows(canonical.select("field_name", "canonical_id", "label", "gloss").where("field_name is not null and label is not null and canonical_id is not null"), max_entries, "the reference list")
+        further: dict[tuple[str, str], list[str]] = {}
+        if aliases is not None:
+            for r in bounded_rows(aliases.select("field_name", "label", "alias").where("alias is not null"), max_entries, "the table of aliases"):
+                further.setdefault((r["field_name"], r["label"]), []).append(r["alias"])
+        entries: dict[str, list] = {}
+        for r in rows:
+            entries.setdefault(r["field_name"], []).append((r["canonical_id"], r["label"], r["gloss"] or "", tuple(sorted(further.get((r["field_name"], r["label"]), ())))))
+        self.labels = {f: sorted({e[1] for e in x}) for f, x in entries.items()}
+        self.shared = canonical.sparkSession.sparkContext.broadcast(entries)
+
+    def column(self, field: str, kind: str, use) -> object:
+        """A column function: ``use`` (canon, value) of each distinct value; null gives null."""
+        shared = self.shared
+
+        def one(values: pd.Series) -> list:
+            key = (shared.id if hasattr(shared, "id") else id(shared.value), field)
+            if key not in _BUILT:
+                _BUILT.clear() if len(_BUILT) > 8 else None
+                _BUILT[key] = (Canon(shared.value.get(field, [])), {})
+            canon, seen = _BUILT[key]
+            out = []
+            for v in values:
+                if v is None:
+                    out.append(None)
+                    continue
+                got = seen.get((kind, v))
+                if got is None:
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    got = seen[(kind, v)] = use(canon, v)
+                out.append(got)
+            return out
+
+        return one
+
+    def ids(self, field: str):
+        """Column -> the entry's id, 0 if nothing on the list is meant."""
+        one = self.column(field, "id", lambda canon, v: canon.find(v))
+
+        @F.pandas_udf("int")
+        def ids(values: pd.Series) -> pd.Series:
+            return pd.Series(one(values), dtype="Int32")
+
+        return ids
+
+    def distances(self, field: str):
+        """Column -> all entries within the distance allowed, with their distances."""
+        one = self.column(field, "all", lambda canon, v: [{"canonical_id": i, "distance": d} for i, d in sorted(canon.all_within(v).items())])
+
+        @F.pandas_udf("array<struct<canonical_id:int,distance:int>>")
+        def distances(values: pd.Series) -> pd.Series:
+            return pd.Series(one(values), dtype=object)
+
+        return distances
 
 
 def _blank(c: Column) -> Column:
     return c.rlike("^[\\s\\p{Z}\\p{Cf}]*$")
 
 
-def mapped(values: DataFrame, canonical: DataFrame, field: str) -> DataFrame:
+def typed(values: DataFrame, field: str, reference: Reference) -> DataFrame:
+    """The values (row_id, pos, value) that are neither null, blank nor a label, character for character."""
+    v = values.where(F.col("value").isNotNull() & ~_blank(F.col("value")))
+    labels = reference.labels.get(field, [])
+    if len(labels) <= 500:
+        return v.where(~F.col("value").isin(labels)) if labels else v
+    known = v.sparkSession.createDataFrame([(x,) for x in labels], "value string")
+    return v.join(known, "value", "left_anti").select("row_id", "pos", "value")
+
+
+def mapped(values: DataFrame, field: str, reference: Reference) -> DataFrame:
     """(field_name, row_id, pos, canonical_id) of values (row_id, pos, value) of one field.
 
     Values that are null, blank or already a label, character for character, give no row; all
-    others do, with 0 if nothing on the list is meant. The trie is small and goes to every task,
-    so the table is read once and nothing is shuffled. Of several entries the nearest wins, then
-    the smallest id.
+    others do, with 0 if nothing on the list is meant. The table is read once and nothing is
+    shuffled. Of several entries the nearest wins, then the smallest id.
     """
-    ids, labels = matcher(canonical, field)
-    v = values.where(F.col("value").isNotNull() & ~_blank(F.col("value")))
-    if labels:
-        v = v.where(~F.col("value").isin(labels))
-    return v.select(F.lit(field).alias("field_name"), F.col("row_id").cast("bigint").alias("row_id"), F.col("pos").cast("int").alias("pos"), ids("value").alias("canonical_id"))
+    v = typed(values, field, reference)
+    return v.select(F.lit(field).alias("field_name"), F.col("row_id").cast("bigint").alias("row_id"), F.col("pos").cast("int").alias("pos"), reference.ids(field)("value").alias("canonical_id"))
+
+
+def every_match(values: DataFrame, field: str, reference: Reference) -> DataFrame:
+    """(field_name, row_id, pos, canonical_id, distance): all entries within the distance allowed."""
+    v = typed(values, field, reference).select("row_id", "pos", F.explode(reference.distances(field)("value")).alias("m"))
+    return v.select(F.lit(field).alias("field_name"), F.col("row_id").cast("bigint").alias("row_id"), F.col("pos").cast("int").alias("pos"), "m.canonical_id", "m.distance")
+
+
+def typed_values(candidates: DataFrame, tools: DataFrame) -> dict[str, DataFrame]:
+    """field -> (row_id, pos, value) of the freely typed categories, primary tasks and pricing models."""
+    scalar = lambda c: tools.select(F.col("tool_no").alias("row_id"), F.lit(0).alias("pos"), F.col(c).alias("value"))
+    return {"categories": candidates.select("row_id", F.posexplode("categories").alias("pos", "value")), "primary_task": scalar("primary_task"), "pricing_model": scalar("pricing.model")}
 
 
-def canonical_values(candidates: DataFrame, tools: DataFrame, canonical: DataFrame) -> DataFrame:
-    """The freely typed categories, primary tasks and pricing models of both tables; see ``mapped``."""
-    cats = candidates.select("row_id", F.posexplode("categories").alias("pos", "value"))
-    task = tools.select(F.col("tool_no").alias("row_id"), F.lit(0).alias("pos"), F.col("primary_task").alias("value"))
-    model = tools.select(F.col("tool_no").alias("row_id"), F.lit(0).alias("pos"), F.col("pricing.model").alias("value"))
-    parts = [mapped(cats, canonical, "categories"), mapped(task, canonical, "primary_task"), mapped(model, canonical, "pricing_model")]
+def canonical_values(candidates: DataFrame, tools: DataFrame, canonical: DataFrame, aliases: DataFrame | None = None, every: bool = False) -> DataFrame:
+    """``mapped`` (or, with ``every``, ``every_match``) for all typed values of both tables."""
+    reference = Reference(canonical, aliases)
+    parts = [(every_match if every else mapped)(v, field, reference) for field, v in typed_values(candidates, tools).items()]
     return parts[0].union(parts[1]).union(parts[2])

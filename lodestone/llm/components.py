@@ -1,11 +1,10 @@
 """Groups from pairwise links: union-find within partitions, forests merged hierarchically.
 
 Each task runs union-find over its part of the edges and keeps only a spanning forest (one edge
-``root - node`` for each node that is no root). Forests are then brought together in ever fewer
-partitions, none of which gets more than ``max_edges`` edges. Should the forests stop shrinking
-while they still exceed one task (a graph with more nodes than that), alternating star
-contraction finishes the work with joins and partial aggregates alone, so no task ever holds an
-unbounded group.
+``root - node`` for each node that is no root). Forests are then merged level by level in bounded
+partitions: before each level a share of the nodes is contracted into neighbours and kept aside
+with its parent, so the forest shrinks whatever the graph, until one bounded task holds what is
+left; then the nodes kept aside get the component of their parents.
 """
 
 from __future__ import annotations
@@ -57,48 +56,54 @@ def spanning_forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"src": roots[part][keep[part]], "dst": ids[part][keep[part]]})
 
 
-def _stars(edges: DataFrame) -> DataFrame:
-    """Alternating large-star and small-star contraction until nothing changes."""
-    seen = None
-    while True:
-        both = edges.union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
-        large = both.join(low, "src").where("dst > src").select(F.col("low").alias("src"), "dst").where("src <> dst").distinct()
-        down = large.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-        low = down.groupBy("src").agg(F.min("dst").alias("low"))
-        small = down.join(low, "src")
-        edges = small.select(F.col("low").alias("src"), F.explode(F.array("src", "dst")).alias("dst")).where("src <> dst").distinct()
-        edges = cut(edges)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if now == seen:
-            return edges
-        seen = now
+def _both_ways(edges: DataFrame) -> DataFrame:
+    return edges.union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+
+
+def _contracted(forest: DataFrame, step: int) -> tuple[DataFrame, DataFrame]:
+    """(parents, edges): about a third of the nodes merged into a neighbour, and the edges that remain.
+
+    A hash of node and step makes every node a head or a tail; a tail with a head beside it is
+    merged into the smallest such head. Parents are heads and so never merged themselves in the
+    same step: no chains arise, whatever the graph.
+    """
+    is_head = lambda c: F.xxhash64(F.col(c), F.lit(step)).bitwiseAND(F.lit(1)) == 1
+    parents = cut(_both_ways(forest).where(is_head("dst") & ~is_head("src")).groupBy("src").agg(F.min("dst").alias("parent")).select(F.col("src").alias("child"), "parent"))
+    moved = forest.join(parents, F.col("src") == F.col("child"), "left").select(F.coalesce("parent", "src").alias("src"), "dst")
+    moved = moved.join(parents, F.col("dst") == F.col("child"), "left").select("src", F.coalesce("parent", "dst").alias("dst"))
+    return parents, moved.where("src <> dst").select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
 def connected_components(edges: DataFrame, left: str = "src", right: str = "dst", max_edges: int = 1_000_000) -> DataFrame:
     """(node, component) for every node with a link; component is the smallest node id of its group.
 
-    Null ends and self links are no links: rows with a null end are dropped, a node that only
-    links to itself does not appear. Repeated and turned links change nothing. An empty input
-    gives an empty result.
+    While the forest has more than ``max_edges`` edges, it is merged in bounded partitions and
+    contracted; then one task of at most so many edges finds the components of what is left, and
+    the merged nodes follow their parents. Null ends and self links are no links: rows with a null
+    end are dropped, a node that only links to itself does not appear. Repeated and turned links
+    change nothing. An empty input gives an empty result.
     """
     e = edges.select(F.col(left).cast("bigint").alias("src"), F.col(right).cast("bigint").alias("dst"))
     e = e.where("src is not null and dst is not null and src <> dst")
     forest = cut(e.mapInPandas(spanning_forest, EDGE))
-    count = forest.count()
+    count, merges = forest.count(), []
     while count > max_edges:
+        parents, rest = _contracted(forest, len(merges))
+        merges.append(parents)
         tasks = -(-count // max_edges)
-        merged = cut(forest.repartition(tasks, F.col("dst")).mapInPandas(spanning_forest, EDGE))
-        after = merged.count()
-        if after > 0.7 * count:
-            forest = _stars(merged)
-            break
-        forest, count = merged, after
-    else:
-        forest = forest.repartition(1).mapInPandas(spanning_forest, EDGE)
-        forest = cut(forest)
-    roots = forest.select(F.col("src").alias("node"), F.col("src").alias("component")).distinct()
-    return roots.union(forest.select(F.col("dst").alias("node"), F.col("src").alias("component")))
+        forest = cut(rest.repartition(tasks, "src").mapInPandas(spanning_forest, EDGE))
+        count = forest.count()
+    forest = cut(forest.repartition(1).mapInPandas(spanning_forest, EDGE))
+    found = forest.select(F.col("src").alias("node"), F.col("src").alias("component")).distinct().union(forest.select(F.col("dst").alias("node"), F.col("src").alias("component")))
+    if not merges:
+        return found
+    for parents in reversed(merges):
+        heads = parents.select(F.col("parent").alias("node")).distinct().join(found, "node", "left_anti").select("node", F.col("node").alias("component"))
+        found = found.union(heads)
+        children = parents.join(found, F.col("parent") == F.col("node")).select(F.col("child").alias("node"), "component")
+        found = cut(found.union(children))
+    least = found.groupBy("component").agg(F.min("node").alias("least"))
+    return found.join(least, "component").select("node", F.col("least").alias("component"))
 
 
 # Tiers that prove a merge, by their plain words.

@@ -6,27 +6,27 @@ rarest terms of each held-out sentence.
    held-out terms, and document counts per term come from the same index.
 3. For each sentence the lists of its rarest terms are intersected after subtracting the term's
    place in the sentence: postings of one occurrence fall on (nearly) the same offset.
-4. Documents where enough rare terms agree are aligned exactly with the sentence (longest common
-   subsequence of words within the window), which decides.
+4. Where enough rare terms agree, the postings around the place give the words that stand there;
+   they are aligned exactly with the sentence (longest common subsequence), which decides.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.folding import invisible, letter_table
-from lodestone.session import bounded_rows, cut, maybe_broadcast, spread, work_path
+from lodestone.session import bounded_rows, cut, drop_path, spread, work_path
 
 _TABLE = str.maketrans(letter_table() | {c: None for c in invisible()})
-_TAG = re.compile(r"<[^<>]{0,200}>|&[a-z]{2,8};|&#\d{1,6};")
+_TAG = re.compile(r"<[^<>]*>|&[a-z]{2,8};|&#\d{1,6};")
 _WORD = re.compile(r"[^\W_]+")
 # Opening lines that tell how to use a passage.
 INSTRUCTION = re.compile(r"(?i)\b(passage|question|instruction|answer|below|following)\b")
@@ -40,12 +40,15 @@ def words(text: str) -> list[str]:
     return _WORD.findall(_TAG.sub(" ", text).lower())
 
 
-def sentences(text: str) -> list[list[str]]:
-    """Whole sentences of a held-out passage as words, without an instruction line at its head."""
+def sentences(text: str, least_words: int = 5) -> list[list[str]]:
+    """Whole sentences of a held-out passage as words, without an instruction line at its head.
+
+    A sentence of fewer than ``least_words`` words is no passage: texts share it by chance.
+    """
     parts = [x for x in re.split(r"(?<=[.!?])[\"”')\]]*\s+|\n+", text.strip()) if x.strip()]
     if parts and len(parts) > 1 and INSTRUCTION.search(parts[0]) and len(words(parts[0])) <= 14:
         parts = parts[1:]
-    return [w for p in parts if len(w := words(p)) >= 5]
+    return [w for p in parts if len(w := words(p)) >= least_words]
 
 
 def _edit_one(a: str, b: str) -> bool:
@@ -138,78 +141,65 @@ def build_index(documents: DataFrame, path: str) -> DataFrame:
     return documents.sparkSession.read.parquet(path)
 
 
-def leaks(documents: DataFrame, items: DataFrame, rare_terms: int = 8, agree: int = 4, slack: int = 4, share: float = 0.78, index: DataFrame | None = None, broadcast_docs: int = 200_000) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, rare_terms: int = 8, agree: int = 4, slack: int = 4, share: float = 0.78, index: DataFrame | None = None) -> DataFrame:
     """(doc_id, item_id): documents that carry at least one whole sentence of an item's passage.
 
-    ``rare_terms`` of each sentence, the rarest by corpus document count, are looked up in the
-    index (built here unless given); ``agree`` of them must lie within ``slack`` words of their
-    places (a short sentence needs fewer), then words decide, see ``carries``. Changed case,
-    punctuation, spacing, markup and characters do not matter, and up to about a fifth of a
-    sentence's words may differ. Null texts and ids take no part; equal rows give one result;
-    empty inputs an empty one. Candidates are broadcast only if they are counted at most
-    ``broadcast_docs`` documents; beyond that they are joined by shuffle.
+    At least ``rare_terms`` of each sentence, the rarest by corpus document count, are looked up in
+    the index (built here unless given) and intersected after subtracting their places: ``agree``
+    of them must lie within ``slack`` words of their places. A long sentence takes more terms, so
+    that ``share`` of its words unchanged leave enough of them, wherever the changes fall. Then the
+    postings of the places around the match tell its words, which decide (``carries``); no text is
+    read again. Changed case, punctuation, spacing, markup and characters do not matter, and up
+    to about a fifth of a sentence's words may differ. Null texts and ids take no part; equal rows
+    give one result; empty inputs an empty one. Tables are broadcast only by their size.
     """
     spark = documents.sparkSession
     probe = held_out(items)
     if not probe:
         return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lit(None).cast("bigint").alias("item_id")).where("false")
+    own = work_path(spark, "postings") if index is None else None
     if index is None:
-        index = build_index(documents, work_path(spark, "postings"))
+        index = build_index(documents, own)
     vocabulary = sorted({w for _, _, ws in probe for w in ws})
-    held_terms = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "term string"))
-    counts = index.join(held_terms, "term").groupBy("term").agg(F.count("*").alias("df"))
+    held_terms = spark.createDataFrame([(w,) for w in vocabulary], "term string")
+    counts = index.join(held_terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
     df = {r["term"]: r["df"] for r in bounded_rows(counts, len(vocabulary), "the held-out terms")}
-    lookup: list[tuple[str, int, int, int]] = []
-    need: list[int] = []
-    rare_of: list[list[tuple[str, int]]] = []
+    lookup: list[tuple[str, int, int, int, int]] = []
     for n, (_, _, ws) in enumerate(probe):
-        rare = sorted(range(len(ws)), key=lambda k: (df.get(ws[k], 0), -len(ws[k]), k))[:rare_terms]
-        need.append(max(1, min(agree, len(ws) // 3)))
-        rare_of.append([(ws[k], k) for k in rare])
-        lookup += [(ws[k], n, k, need[n]) for k in rare]
-    terms = F.broadcast(spark.createDataFrame(lookup, "term string, sentence int, place int, need int"))
+        changed = len(ws) - math.ceil(share * len(ws))
+        rare = sorted(range(len(ws)), key=lambda k: (df.get(ws[k], 0), -len(ws[k]), k))[: min(62, max(rare_terms, changed + 2))]
+        need = max(1, min(agree, len(ws) // 3, len(rare) - changed))
+        lookup += [(ws[k], n, k, bit, need) for bit, k in enumerate(rare)]
+    terms = spark.createDataFrame(lookup, "term string, sentence int, place int, bit int, need int")
     # Offsets of one occurrence differ by at most `slack`: they share a cell of one of two grids.
     wide = 2 * slack
-    hits = index.join(terms, "term").select("doc_id", "sentence", "place", "need", F.explode("positions").alias("p"))
-    hits = hits.select("doc_id", "sentence", "place", "need", (F.col("p") - F.col("place")).alias("offset"))
+    hits = index.join(terms, "term").select("doc_id", "sentence", "place", "bit", "need", F.explode("positions").alias("p"))
+    hits = hits.select("doc_id", "sentence", "bit", "need", (F.col("p") - F.col("place")).alias("offset"))
     cells = F.explode(F.array(F.floor(F.col("offset") / wide) * 2, F.floor((F.col("offset") + slack) / wide) * 2 + 1))
-    agreed = hits.select("doc_id", "sentence", "need", F.expr("shiftleft(1L, place % 62)").alias("bit"), cells.alias("cell"))
-    agreed = agreed.groupBy("doc_id", "sentence", "cell").agg(F.max("need").alias("need"), F.bit_or("bit").alias("bits")).where(F.bit_count("bits") >= F.col("need"))
-    found = cut(agreed.groupBy("doc_id").agg(F.collect_set("sentence").alias("sentences")))
-    known = found.count()
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text is not null")
-    candidates = docs.join(maybe_broadcast(found, known, broadcast_docs), "doc_id")
-    if known <= broadcast_docs:
-        candidates = spread(candidates)
+    agreed = hits.select("doc_id", "sentence", "need", "offset", F.expr("shiftleft(1L, bit)").alias("bit"), cells.alias("cell"))
+    agreed = agreed.groupBy("doc_id", "sentence", "cell").agg(F.max("need").alias("need"), F.bit_or("bit").alias("bits"), F.min("offset").alias("at")).where(F.bit_count("bits") >= F.col("need"))
+    spans = spark.createDataFrame([(n, len(ws) + len(ws) // 3 + 3 * slack) for n, (_, _, ws) in enumerate(probe)], "sentence int, span int")
+    places = agreed.select("doc_id", "sentence", "at").distinct().join(spans, "sentence").select("doc_id", "sentence", F.col("at").alias("lo"), (F.col("at") + F.col("span")).alias("hi"))
+    places = cut(places.withColumn("lo", F.greatest(F.col("lo") - slack, F.lit(0))))
+    # The words around each match, from the postings of its document.
+    near = index.join(places.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "term", F.explode("positions").alias("p"))
+    near = near.join(places, "doc_id").where("p between lo and hi")
+    windows = near.groupBy("doc_id", "sentence", "lo").agg(F.array_sort(F.collect_list(F.struct("p", "term"))).alias("w"))
     content = frozenset(w for w in vocabulary if len(w) > 3)
-    shared = spark.sparkContext.broadcast((rare_of, need, probe, content))
+    shared = spark.sparkContext.broadcast((probe, content))
 
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rare, least, held, vocab = shared.value
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, vocab = shared.value
         for b in batches:
             out_d, out_i = [], []
-            for doc, text, numbers in zip(b["doc_id"].tolist(), b["text"].tolist(), b["sentences"].tolist()):
-                ws = words(text)
-                at: dict[str, list[int]] = {}
-                for p, w in enumerate(ws):
-                    at.setdefault(w, []).append(p)
-                got: set[int] = set()
-                for n in sorted(numbers):
-                    item, _, sentence = held[n]
-                    if item in got:
-                        continue
-                    offsets = sorted(p - k for w, k in rare[n] for p in at.get(w, ()))
-                    tried = None
-                    for x in range(len(offsets) - least[n] + 1):
-                        if offsets[x + least[n] - 1] - offsets[x] > slack or (tried is not None and offsets[x] - tried < slack):
-                            continue
-                        tried = offsets[x]
-                        lo = max(0, tried - slack)
-                        if carries(sentence, ws[lo : max(0, tried) + len(sentence) + len(sentence) // 3 + 2 * slack], vocab, share):
-                            got.add(item)
-                            break
-                out_d += [doc] * len(got)
-                out_i += sorted(got)
-            yield pd.DataFrame({"doc_id": out_d, "item_id": out_i}).astype("int64")
-
-    return candidates.select("doc_id", "text", "sentences").mapInPandas(decide, "doc_id bigint, item_id bigint").distinct()
+            for doc, n, w in zip(b["doc_id"].to_pylist(), b["sentence"].to_pylist(), b["w"].to_pylist()):
+                item, _, sentence = held[n]
+                if carries(sentence, [x["term"] for x in w], vocab, share):
+                    out_d.append(doc)
+                    out_i.append(item)
+            yield pa.RecordBatch.from_arrays([pa.array(out_d, pa.int64()), pa.array(out_i, pa.int64())], ["doc_id", "item_id"])
+
+    found = cut(windows.select("doc_id", "sentence", "w").mapInArrow(decide, "doc_id bigint, item_id bigint").distinct())
+    if own:
+        drop_path(spark, own)
+    return found

@@ -6,7 +6,6 @@ fixed values.
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -32,8 +31,8 @@ def _scripts() -> range:
 @lru_cache(1)
 def invisible() -> str:
     """Characters that print nothing: format characters and their kin."""
-    extra = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, *range(0xFE00, 0xFE10)}
-    return "".join(chr(c) for c in range(sys.maxunicode + 1) if c < 0xE0000 and (unicodedata.category(chr(c)) == "Cf" or c in extra))
+    extra = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
+    return "".join(chr(c) for c in range(0xE0200) if c in extra or (c < 0xE0000 and unicodedata.category(chr(c)) == "Cf"))
 
 
 @lru_cache(1)

@@ -10,21 +10,24 @@ confidence. Accepted pairs are joined to products, and products to pairs of rows
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm import weburls
 from lodestone.llm.components import connected_components
 from lodestone.llm.folding import fold_ascii
-from lodestone.llm.history import directory_fronts
+from lodestone.llm.history import front_hosts
 from lodestone.session import bounded_rows, cut
 
 # Words that names carry beside the name.
 NOISE = ("ai", "the", "ltd", "inc", "llc", "gmbh", "app", "beta", "tm", "io", "co", "corp", "hq")
 SLUG_NOISE = (*NOISE, "item", "review", "reviews", "tool")
-VOTERS = ("site", "name", "slug", "spelling", "host", "tagline")
-#: How much each voter is believed before anything is learned; a differing site counts half.
-START = (2.0, 3.0, 1.0, 1.0, 0.5, 0.5)
+VOTERS = ("site", "name", "slug", "spelling", "host", "tagline", "maker")
+#: A maker has one product when so large a share of its rows with a full name bear one form of it.
+SOLE = 0.6
+#: Rows of a part of a product; a product of more rows is paired part by part.
+PART = 2000
 #: A table of vote patterns has at most 3 ** voters rows, whatever the data.
 MAX_PATTERNS = 3 ** len(VOTERS)
 
@@ -55,7 +58,7 @@ def profiles(rows: DataFrame, configs: DataFrame) -> tuple[DataFrame, DataFrame]
     everyday names do not. Rows that have neither a branded name nor a site can't be told apart
     from others and stay alone.
     """
-    fronts = directory_fronts(configs)
+    fronts = front_hosts(configs, rows, "website", "listing_url").withColumnRenamed("host", "_host").withColumn("_told", F.lit(True))
     p = weburls.parts(F.col("website"))
     q = weburls.parts(F.col("listing_url"))
     blank = lambda c: F.nullif(F.trim(fold_ascii(F.col(c))), F.lit(""))
@@ -66,7 +69,8 @@ def profiles(rows: DataFrame, configs: DataFrame) -> tuple[DataFrame, DataFrame]
     words = F.coalesce(name_tokens(F.col("raw")), F.array().cast("array<string>"))
     r = r.withColumn("slugs", slug).withColumn("words", words)
     r = r.withColumn("words", F.when(F.size("words") == 0, F.slice("slugs", 1, 2)).otherwise(F.col("words")))
-    front = F.col("p.front") & F.col("p.host").isin(fronts) if fronts else F.lit(False)
+    r = r.join(fronts, F.col("p.front") & (F.col("p.host") == F.col("_host")), "left")
+    front = F.coalesce("_told", F.lit(False))
     r = r.select(
         "row_id",
         "source_key",
@@ -90,7 +94,11 @@ def profiles(rows: DataFrame, configs: DataFrame) -> tuple[DataFrame, DataFrame]
     everyday = words.where("pro * 2 < all and all >= 2").select("word")
     names = one.select("squash", F.explode("words").alias("word"))
     plain = names.join(everyday, "word", "left_semi").select("squash").distinct().withColumn("plain", F.lit(True))
-    one = one.join(plain, "squash", "left").withColumn("branded", F.col("plain").isNull() & (F.length("squash") >= 5)).drop("plain")
+    one = one.join(plain, "squash", "left").withColumn("branded", F.col("plain").isNull() & (F.length("squash") >= 4)).drop("plain")
+    # Has a maker one product? By the share of its most frequent full name.
+    forms = one.where("branded and size(words) > 1 and first is not null").groupBy("first", "sorted").agg(F.sum("n").alias("n"))
+    makers = forms.groupBy("first").agg((F.max("n") >= SOLE * F.sum("n")).alias("sole"))
+    one = one.join(makers, "first", "left")
     return r.select("row_id", "source_key", "pid"), one
 
 
@@ -101,11 +109,33 @@ def _typo(a: Column, b: Column) -> Column:
     return (F.least(F.length(a), F.length(b)) >= 5) & ((near == 1) | ((near == 2) & swapped))
 
 
+def deletions(text: str) -> set[int]:
+    """Hashes of a text and of all texts with one character less."""
+    base, mod = 1_000_003, (1 << 61) - 1
+    head, power = [0], [1]
+    for c in text:
+        head.append((head[-1] * base + ord(c)) % mod)
+        power.append(power[-1] * base % mod)
+    n, tail, out = len(text), 0, {head[-1]}
+    for k in range(n - 1, -1, -1):  # tail: hash of what follows place k
+        out.add((head[k] * power[n - 1 - k] + tail) % mod)
+        tail = (ord(text[k]) * power[n - 1 - k] + tail) % mod
+    return out
+
+
 def name_typos(one: DataFrame) -> DataFrame:
-    """(a, b): branded name forms one edit apart, a < b, by equal strings after deleting one character."""
-    s = one.where("branded and length(squash) between 6 and 60").select("squash").distinct()
-    cuts = F.array_distinct(F.concat(F.array("squash"), F.transform(F.sequence(F.lit(1), F.length("squash")), lambda k: F.concat(F.substr(F.col("squash"), F.lit(1), k - 1), F.substr(F.col("squash"), k + 1, F.length("squash"))))))
-    v = s.select("squash", F.explode(F.transform(cuts, lambda x: F.xxhash64(x))).alias("v"))
+    """(a, b): branded name forms one edit apart, a < b, by equal strings after deleting one character.
+
+    The strings themselves are not made: their hashes are put together from those of beginnings
+    and ends, so a name of any length costs its length.
+    """
+    s = one.where("branded and length(squash) >= 5").select("squash").distinct()
+
+    @F.arrow_udf("array<bigint>")
+    def cuts(names: pa.Array) -> pa.Array:
+        return pa.array([sorted(deletions(x)) for x in names.to_pylist()], pa.list_(pa.int64()))
+
+    v = s.select("squash", F.explode(cuts("squash")).alias("v"))
     pairs = v.select(F.col("squash").alias("a"), "v").join(v.select(F.col("squash").alias("b"), "v"), "v").where("a < b").select("a", "b").distinct()
     return pairs.where(_typo(F.col("a"), F.col("b")))
 
@@ -145,7 +175,7 @@ def candidate_pairs(one: DataFrame) -> DataFrame:
 
 def votes(pairs: DataFrame, one: DataFrame) -> DataFrame:
     """(a, b, *VOTERS): 1 for a match, -1 against, 0 where a function has nothing to say."""
-    f = ["pid", "squash", "sorted", "words", "first", "branded", "site", "host", "slug", "slug_sorted", "tagline"]
+    f = ["pid", "squash", "sorted", "words", "first", "branded", "site", "host", "slug", "slug_sorted", "tagline", "sole"]
     side = lambda s: one.select(F.col("pid").alias(s), *[F.col(x).alias(f"{s}_{x}") for x in f[1:]])
     j = pairs.join(side("a"), "a").join(side("b"), "b")
     A, B = (lambda x: F.col(f"a_{x}")), (lambda x: F.col(f"b_{x}"))
@@ -157,6 +187,8 @@ def votes(pairs: DataFrame, one: DataFrame) -> DataFrame:
     far = (F.levenshtein(A("squash"), B("squash"), 3) == -1) & (F.levenshtein(A("sorted"), B("sorted"), 3) == -1)
     # One maker, two products: the first word is the same, the rest is no misspelling of it.
     far = far | F.coalesce((A("first") == B("first")) & ~typo & ~same, F.lit(False))
+    bare = lambda s, o: (F.size(s("words")) == 1) & s("site").isNull() & (F.size(o("words")) > 1)
+    lone = brands & (A("first") == B("first")) & (bare(A, B) | bare(B, A))
     both = A("site").isNotNull() & B("site").isNotNull()
     vote = lambda yes, no=F.lit(False): F.when(F.coalesce(yes, F.lit(False)), 1).when(F.coalesce(no, F.lit(False)), -1).otherwise(0)
     told = lambda s, o: F.contains(F.regexp_replace(s("site"), "[^a-z0-9]", ""), o("squash")) & (F.length(o("squash")) >= 8) & (s("site").eqNullSafe(o("site")) | (F.size(o("words")) > 1))
@@ -171,6 +203,8 @@ def votes(pairs: DataFrame, one: DataFrame) -> DataFrame:
         vote((same | typo) & (brands | F.coalesce(A("site") == B("site"), F.lit(False))), ~same & ~part & far).alias("spelling"),
         vote(told(A, B) | told(B, A), both & (A("host") != B("host")) & ~told(A, B) & ~told(B, A)).alias("host"),
         vote(A("tagline") == B("tagline")).alias("tagline"),
+        # The maker's name alone, without a site, means its product if it has but one.
+        vote(lone & F.coalesce(A("sole"), F.lit(False)), lone & ~F.coalesce(A("sole"), F.lit(False))).alias("maker"),
     )
 
 
@@ -190,7 +224,7 @@ class LabelModel:
     def __init__(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 60):
         self.n = patterns.shape[1]
         v = patterns.astype(int) + 1
-        post = 1 / (1 + np.exp(-1.5 * (patterns @ np.array(START[: self.n]) + np.minimum(patterns[:, 0], 0) * -1.0)))
+        post = 1 / (1 + np.exp(-1.5 * patterns.sum(1)))  # the majority of the votes starts the search
         self.parent, self.order = [-1] * self.n, list(range(self.n))
         for k in range(rounds):
             if k % 10 == 5:
@@ -260,34 +294,49 @@ def scored_pairs(one: DataFrame) -> DataFrame:
     return v.join(lookup, list(VOTERS)).select("a", "b", F.when(spoken, F.col("confidence")).otherwise(0.0).alias("confidence"))
 
 
+def linked(rows: DataFrame, configs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sightings, profiles, scored pairs of profiles)."""
+    seen, one = profiles(rows, configs)
+    one = cut(one)
+    return seen, one, cut(scored_pairs(one))
+
+
+def scored(rows: DataFrame, configs: DataFrame) -> DataFrame:
+    """(left_row_id, right_row_id, confidence): every compared pair of profiles with its posterior, each
+    profile by the smallest row_id that shows it; ``products`` tells which rows belong to it."""
+    seen, _, pairs = linked(rows, configs)
+    lead = seen.groupBy("pid").agg(F.min("row_id").alias("row_id"))
+    j = pairs.join(lead.select(F.col("pid").alias("a"), F.col("row_id").alias("x")), "a").join(lead.select(F.col("pid").alias("b"), F.col("row_id").alias("y")), "b")
+    return j.select(F.least("x", "y").alias("left_row_id"), F.greatest("x", "y").alias("right_row_id"), "confidence")
+
+
 def products(rows: DataFrame, configs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """(row_id, source_key, product): every row that can be told apart, with its product's id.
+    """(row_id, source_key, product, confidence): every row that can be told apart, with its product's id.
 
-    A name of one word (the maker alone) without a site joins the maker's product if the maker
-    has exactly one.
+    Profiles are one product when the model's posterior of a pair reaches ``threshold``, directly
+    or through others; nothing outside the model links them. The confidence of a row is that of
+    the best pair that holds its profile in the product, 1 for a profile that stands alone.
     """
-    seen, one = profiles(rows, configs)
-    one = cut(one)
-    links = scored_pairs(one).where(F.col("confidence") >= threshold).select("a", "b")
+    seen, one, pairs = linked(rows, configs)
+    links = pairs.where(F.col("confidence") >= threshold)
     groups = connected_components(links, "a", "b")
-    told = one.where("branded or site is not null").select("pid", "first", F.size("words").alias("k"), "site", "branded")
-    told = cut(told.join(groups, F.col("pid") == F.col("node"), "left").select("pid", "first", "k", "site", "branded", F.coalesce("component", "pid").alias("product")))
-    maker = told.where("branded and k > 1 and first is not null").groupBy("first").agg(F.min("product").alias("p"), F.max("product").alias("p2")).where("p = p2").select("first", "p")
-    lone = told.where("branded and k = 1").groupBy("product").agg(F.max("first").alias("first"), F.max("site").alias("s")).where("s is null")
-    only = told.groupBy("product").agg(F.max("k").alias("k")).where("k = 1").select("product")
-    moved = lone.join(only, "product").join(maker, "first").select("product", "p")
-    told = told.join(moved, "product", "left").select("pid", F.coalesce("p", "product").alias("product"))
-    return seen.join(told, "pid").select("row_id", "source_key", "product")
+    best = links.select(F.explode(F.array("a", "b")).alias("pid"), "confidence").groupBy("pid").agg(F.max("confidence").alias("confidence"))
+    told = one.where("branded or site is not null").select("pid").join(groups, F.col("pid") == F.col("node"), "left").join(best, "pid", "left")
+    told = told.select("pid", F.coalesce("component", "pid").alias("product"), F.coalesce("confidence", F.lit(1.0)).alias("confidence"))
+    return seen.join(told, "pid").select("row_id", "source_key", "product", "confidence")
 
 
 def row_pairs(rows: DataFrame, configs: DataFrame) -> DataFrame:
-    """(left_row_id, right_row_id): pairs of rows of different sources that show one product.
+    """(left_row_id, right_row_id, confidence): pairs of rows of different sources that show one product.
 
-    Null source keys count as one source of their own. Rows that repeat a row_id count once.
+    The confidence of a pair is the lower one of its rows. Products of many rows are paired part
+    by part, each part under a key of its own, so no task holds a whole product. Null source keys
+    count as one source of their own. Rows that repeat a row_id count once.
     """
-    p = products(rows, configs).select("row_id", F.coalesce("source_key", F.lit("")).alias("source"), "product").distinct()
-    many = p.groupBy("product").agg(F.min("source").alias("x"), F.max("source").alias("y")).where("x <> y").select("product")
-    p = cut(p.join(many, "product", "left_semi"))
-    left = p.select("product", F.col("row_id").alias("left_row_id"), F.col("source").alias("ls"))
-    right = p.select("product", F.col("row_id").alias("right_row_id"), F.col("source").alias("rs"))
-    return left.join(right, "product").where("left_row_id < right_row_id and ls <> rs").select("left_row_id", "right_row_id")
+    p = products(rows, configs).select("row_id", F.coalesce("source_key", F.lit("")).alias("source"), "product", "confidence")
+    p = p.groupBy("row_id", "source", "product").agg(F.max("confidence").alias("confidence"))
+    sizes = p.groupBy("product").agg(F.min("source").alias("x"), F.max("source").alias("y"), F.count("*").alias("size")).where("x <> y").select("product", F.ceil(F.col("size") / PART).alias("parts"))
+    p = cut(p.join(sizes, "product"))
+    left = p.select("product", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.col("row_id").alias("left_row_id"), F.col("source").alias("ls"), F.col("confidence").alias("lc"))
+    right = p.select("product", F.pmod(F.xxhash64("row_id"), "parts").alias("part"), F.col("row_id").alias("right_row_id"), F.col("source").alias("rs"), F.col("confidence").alias("rc"))
+    return left.join(right, ["product", "part"]).where("left_row_id < right_row_id and ls <> rs").select("left_row_id", "right_row_id", F.least("lc", "rc").alias("confidence"))

@@ -1,8 +1,8 @@
 """Mixing sources to target shares of a token budget, by nested hash thresholds.
 
 Tokens are summed by source and hash bucket; the bucket in which a source's budget is spent is
-found from that small histogram, and only its documents are looked at again with the next bits
-of the hash. The result is one 60-bit threshold per source, and the selection is a filter: no
+found from that small histogram, by running sums in Spark, and only its documents are looked at
+again with the next bits of the hash. The result is one 60-bit threshold per source, and the selection is a filter: no
 sort, no sampling, the same rows at any number of partitions.
 """
 
@@ -13,9 +13,10 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.session import bounded_rows, cut, spread
+from lodestone.session import cut, maybe_broadcast, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern by which this public vocabulary parts a text before merging.
@@ -68,55 +69,41 @@ def plan(documents: DataFrame, targets: DataFrame, total_tokens: int | None = No
     """
     d = spread(documents.select("doc_id", source_name(F.col("source")).alias("source"), "text"))
     d = d.select("doc_id", "source", token_counter(tokenizer)("text").alias("tokens"), F.xxhash64(F.lit(17), "doc_id").bitwiseAND(F.lit((1 << 60) - 1)).alias("h"))
-    d = cut(d)
+    d = cut(d.where("doc_id is not null and tokens > 0"))
     sums = d.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
     wanted = targets.select(source_name(F.col("source")).alias("source"), F.coalesce("target_share", F.lit(0.0)).alias("share"), F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0)).alias("reps"))
     wanted = wanted.where("source is not null").groupBy("source").agg(F.sum("share").alias("share"), F.max("reps").alias("reps"))
     total = total_tokens if total_tokens is not None else d.agg(F.sum("tokens")).first()[0] or 0
-    rows = bounded_rows(wanted.join(sums, "source", "left").na.fill(0, ["tokens", "docs"]).orderBy("source"), max_targets, "the table of targets")
-    state = {}
-    for r in rows:
-        need = r["share"] * total
-        have = r["tokens"]
-        whole = min(int(need // have), r["reps"]) if have else 0
-        rest = need - whole * have if have and whole < r["reps"] else 0.0
-        state[r["source"]] = {"whole": whole, "rest": rest, "threshold": 0, "open": rest > 0}
-    # Refine the boundary bucket of each source, level by level.
+    if (named := wanted.count()) > max_targets:
+        raise ValueError(f"the table of targets has more than {max_targets} rows; it is meant to be a small dimension")
+    need = F.col("share") * F.lit(float(total))
+    state = wanted.join(sums, "source").withColumn("whole", F.least(F.floor(need / F.col("tokens")), F.col("reps")).cast("int"))
+    state = state.withColumn("rest", F.when(F.col("whole") < F.col("reps"), need - F.col("whole") * F.col("tokens")).otherwise(0.0))
+    state = cut(state.select("source", "whole", "rest", F.lit(0).cast("bigint").alias("threshold"), (F.col("rest") > 0).alias("open")))
+    # Refine the boundary bucket of each source, level by level; the table of states has one row per target.
     for level in range(LEVELS):
-        live = {s: x for s, x in state.items() if x["open"]}
-        if not live:
-            break
-        edge = F.create_map(*[F.lit(v) for s, x in live.items() for v in (s, x["threshold"])])
+        live = state.where("open").select("source", "rest", "threshold")
         prefix = F.shiftright("h", 60 - BITS * level) if level else F.lit(0).cast("bigint")
-        part = d.where(prefix == F.try_element_at(edge, F.col("source")))
-        histogram = part.groupBy("source", _digit(F.col("h"), level).alias("b")).agg(F.sum("tokens").alias("n"))
-        by: dict[str, dict[int, int]] = {s: {} for s in live}
-        for r in bounded_rows(histogram, len(live) << BITS, "the histogram"):
-            by[r["source"]][r["b"]] = r["n"]
-        for s, x in live.items():
-            last = level == LEVELS - 1
-            boundary = 1 << BITS
-            for b in sorted(by[s]):
-                n = by[s][b]
-                if n > x["rest"] or (last and n > x["rest"]):
-                    boundary = b
-                    break
-                x["rest"] -= n
-            x["threshold"] = (x["threshold"] << BITS) + boundary
-            if boundary == 1 << BITS:  # the whole bucket fits
-                x["open"] = False
-                x["threshold"] <<= BITS * (LEVELS - 1 - level)
-            elif last:  # one document (or copies of one id) is left: take it if that comes closer
-                x["open"] = False
-                x["threshold"] += by[s][boundary] < 2 * x["rest"]
-    kept = [(s, x) for s, x in state.items() if x["whole"] or x["threshold"]]
-    if not kept:
-        mix = d.where("false").select("doc_id", "source", "tokens", F.lit(0).alias("copies"))
-    else:
-        whole = F.create_map(*[F.lit(v) for s, x in kept for v in (s, x["whole"])])
-        under = F.create_map(*[F.lit(v) for s, x in kept for v in (s, int(x["threshold"]))])
-        copies = F.try_element_at(whole, F.col("source")) + (F.col("h") < F.try_element_at(under, F.col("source"))).cast("int")
-        mix = d.where("doc_id is not null and tokens > 0").withColumn("copies", copies.cast("int")).where("copies > 0").select("doc_id", "source", "tokens", "copies")
+        part = d.join(maybe_broadcast(live, named, max_targets), "source").where(prefix == F.col("threshold"))
+        histogram = part.groupBy("source", "rest", _digit(F.col("h"), level).alias("b")).agg(F.sum("tokens").alias("n"))
+        running = histogram.withColumn("upto", F.sum("n").over(W.partitionBy("source").orderBy("b")))
+        over = F.col("upto") > F.col("rest")
+        edge = running.groupBy("source").agg(F.min(F.when(over, F.struct("b", "n"))).alias("edge"), F.coalesce(F.max(F.when(~over, F.col("upto"))), F.lit(0)).alias("taken"))
+        state = state.join(edge, "source", "left")
+        rest = F.when(F.col("open"), F.col("rest") - F.col("taken")).otherwise(F.col("rest"))
+        at = F.shiftleft("threshold", BITS)
+        fits = F.col("edge").isNull()  # the whole bucket fits
+        if level == LEVELS - 1:  # one document (or copies of one id) is left: take it if that comes closer
+            closer = (F.col("edge.n") < 2 * (F.col("rest") - F.col("taken"))).cast("bigint")
+            new = F.when(fits, at + (1 << BITS)).otherwise(at + F.col("edge.b") + closer)
+            still = F.lit(False)
+        else:
+            new = F.when(fits, F.shiftleft(at + (1 << BITS), BITS * (LEVELS - 1 - level))).otherwise(at + F.col("edge.b"))
+            still = F.col("open") & ~fits
+        state = cut(state.select("source", "whole", rest.alias("rest"), F.when(F.col("open"), new).otherwise(F.col("threshold")).alias("threshold"), still.alias("open")))
+    kept = state.where("whole > 0 or threshold > 0").select("source", "whole", "threshold")
+    copies = F.col("whole") + (F.col("h") < F.col("threshold")).cast("int")
+    mix = d.join(maybe_broadcast(kept, named, max_targets), "source").withColumn("copies", copies.cast("int")).where("copies > 0").select("doc_id", "source", "tokens", "copies")
     used = mix.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("tokens_used"), F.max("copies").alias("most_copies"))
     shares = wanted.join(sums, "source", "left").join(used, "source", "left").na.fill(0, ["tokens", "docs", "tokens_used", "most_copies"])
     shares = shares.select(

@@ -8,12 +8,77 @@ from lodestone.llm import canonical, components, contamination, history, linkage
 from lodestone.session import table
 
 
+# Further names of entries of the reference list, by label; the table that the queries of problem 2 hand over.
+ALIASES = {
+    "Writing and Editing": ("blog writer", "ghostwriting"),
+    "Image Creation": ("artwork", "illustrations"),
+    "Photo Retouching": ("picture cleanup",),
+    "Video Production": ("movie maker", "reels"),
+    "Music and Sound": ("beat maker", "soundtracks"),
+    "Speech Synthesis": ("read aloud", "tts"),
+    "Transcription": ("dictation", "captioning"),
+    "Translation": ("interpreter",),
+    "Customer Service": ("live chat support",),
+    "Sales Outreach": ("crm helper", "lead generation"),
+    "Marketing Campaigns": ("promotion", "growth"),
+    "Search Ranking": ("serp",),
+    "Software Development": ("code assistant", "dev tools"),
+    "Data Analytics": ("charts",),
+    "Spreadsheets": ("tabular work",),
+    "Presentations": ("slideshow",),
+    "Meeting Assistance": ("standup bot",),
+    "Workflow Automation": ("rpa",),
+    "Education and Tutoring": ("courses", "e-learning"),
+    "Recruiting": ("applicant tracking", "talent search"),
+    "Legal Work": ("attorney tools",),
+    "Health and Wellness": ("clinic",),
+    "Finance and Accounting": ("budgeting", "fintech"),
+    "Online Retail": ("storefront",),
+    "Games and Play": ("fun",),
+    "Research Papers": ("citations", "science"),
+    "Security and Privacy": ("data protection",),
+    "Social Networks": ("influencers",),
+    "Chat Companions": ("chatbot",),
+    "Three-Dimensional Modeling": ("cad",),
+    "free": ("costs nothing", "$0"),
+    "freemium": ("basic free",),
+    "subscription": ("per month", "recurring"),
+    "one_time": ("single purchase",),
+    "usage_based": ("billed by consumption", "per request"),
+    "credits": ("prepaid credits",),
+    "open_source": ("source available free",),
+    "contact_sales": ("custom quote", "ask for price"),
+    "paid": ("premium only",),
+}
+
+
+def _aliases(spark, d):
+    """(field_name, label, alias): the further names, for the fields that have an entry of the label."""
+    named = spark.createDataFrame([(label, x) for label, names in ALIASES.items() for x in names], "label string, alias string")
+    return table(spark, d, "canonical_values").select("field_name", "label").join(named, "label")
+
+
 def _p1(spark, d):
-    return linkage.row_pairs(table(spark, d, "raw_candidates"), table(spark, d, "source_configs"))
+    return linkage.row_pairs(table(spark, d, "raw_candidates"), table(spark, d, "source_configs")).select("left_row_id", "right_row_id")
+
+
+def _p1_scored(spark, d):
+    """The pairs of profiles that were compared, each with the model's posterior."""
+    return linkage.scored(table(spark, d, "raw_candidates"), table(spark, d, "source_configs"))
+
+
+def _p1_products(spark, d):
+    """Which product each row shows, with the confidence of its best link."""
+    return linkage.products(table(spark, d, "raw_candidates"), table(spark, d, "source_configs")).select("row_id", "product", "confidence")
 
 
 def _p2(spark, d):
-    return canonical.canonical_values(table(spark, d, "raw_candidates"), table(spark, d, "tools"), table(spark, d, "canonical_values"))
+    return canonical.canonical_values(table(spark, d, "raw_candidates"), table(spark, d, "tools"), table(spark, d, "canonical_values"), _aliases(spark, d))
+
+
+def _p2_all(spark, d):
+    """All entries within the distance allowed for a value, with their distances."""
+    return canonical.canonical_values(table(spark, d, "raw_candidates"), table(spark, d, "tools"), table(spark, d, "canonical_values"), _aliases(spark, d), every=True)
 
 
 def _p2_unmatched(spark, d):
@@ -26,14 +91,19 @@ def _p3(spark, d):
 
 
 def _p3_lines(spark, d):
-    """The lines that recur most on one host, from the counts over all pages."""
-    return residue.host_lines(table(spark, d, "fetch_results")).orderBy(F.desc("pages"), "host", "key").limit(100)
+    """On how many hosts and addresses each normalised line stands, over all pages."""
+    return residue.host_lines(table(spark, d, "fetch_results")).groupBy("hosts", "addresses").agg(F.count("*").alias("lines"))
 
 
 def _p4(spark, d):
     return history.repeats(table(spark, d, "prepared_candidates"), table(spark, d, "source_configs"))
 
 
+def _p4_near(spark, d):
+    """Rows of later batches whose description nearly repeats an accepted one, with their class."""
+    return history.near_repeats(table(spark, d, "prepared_candidates"))
+
+
 def _p5(spark, d):
     return mainbody.main_body(table(spark, d, "fetch_results"), table(spark, d, "tools"))
 
@@ -79,11 +149,15 @@ def _p10_forms(spark, d):
 def queries() -> dict:
     return {
         "p1_found": _p1,
+        "p1_scored": _p1_scored,
+        "p1_products": _p1_products,
         "p2_found": _p2,
+        "p2_all": _p2_all,
         "p2_unmatched": _p2_unmatched,
         "p3_found": _p3,
         "p3_lines": _p3_lines,
         "p4_found": _p4,
+        "p4_near": _p4_near,
         "p5_found": _p5,
         "p6_found": _p6,
         "p6_links": _p6_links,

@@ -1,145 +1,119 @@
 """Template residue, filler, error pages and script notices instead of content.
 
-Normalised lines are counted by host over all pages; a line that recurs on its host beside
-changing bodies is boilerplate and is subtracted, as is what is furniture by its form. What is
-left of a page is its residual: an unfilled placeholder or filler anywhere in it, or nothing but
-an error message or a notice that scripts or a browser check are needed, excludes the record.
+1. Lines are normalised and counted over all pages by address and host (``lines``).
+2. A line that recurs on several hosts is judged by what stands beside it: furniture stands beside
+   bodies; an error message or a notice that scripts are needed stands, on a good part of its
+   pages, where no line is left that is a sentence of the page's own.
+3. Recurrent lines are subtracted. What is left of a page is its residual: an unfilled placeholder
+   or filler in it, or no sentence at all beside a line that is evidence of an error, excludes it.
+4. Seeds (forms of placeholders, words of filler and of errors) start the search; lines that
+   recur and stand almost only on pages already found are evidence too.
+
+All of it runs in generated code over exploded lines; texts are not shuffled.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm import weburls
-from lodestone.llm.mainbody import ERROR, NOTICE, Page, is_name, rule
-from lodestone.session import bounded_rows, spread
+from lodestone.llm import lines as L
+from lodestone.session import cut
 
 # The forms in which template systems write a place to fill.
-PLACEHOLDER = re.compile(
-    r"\{\{[^{}]*\}\}|\$\{[^{}]*\}|#\{[^{}]*\}|<%[^%]*%>|\{%[^%]*%\}|\[\[[^\[\]]*\]\]|@@[\w. -]+@@|\*\|[^|]*\|\*|(?<![\w%])%[A-Z][A-Z0-9_.]*%|"
-    r"(?<!\w)__[A-Z][A-Z0-9_.]*__(?!\w)|\$t\('[^']*'\)|(?<![{$#\w])\{[a-z][a-z0-9_.]*\}(?!\})|\[(?:your|insert|add|enter) [^\[\]]*(?:here)?\]|<(?:insert|your|add|enter) [^<>]*>",
-    re.IGNORECASE,
+PLACEHOLDER = (
+    r"\{\{[^{}]*\}\}|\$\{[^{}]*\}|#\{[^{}]*\}|<%[^%]*%>|\{%[^%]*%\}|\[\[[^\[\]]*\]\]|@@[\w. -]+@@|\*\|[^|]*\|\*|(?<![\w%])%[A-Z][A-Z0-9_.]*%|(?<!\w)__[A-Z][A-Z0-9_.]*__(?!\w)|"
+    r"\$t\('[^']*'\)|(?<![{$#\w])\{[a-z][a-z0-9_.]*\}(?!\})|(?i)\[(?:your|insert|add|enter) [^\[\]]*\]|(?i)<(?:insert|your|add|enter) [^<>]*>"
 )
-_CASED = re.compile(r"(?<![\w%])%[a-z]|__[a-z]")
-# Filler lines and values a program failed to print.
-LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor labore dolore magna aliqua enim minim veniam nostrud ullamco laboris nisi aliquip commodo aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit anim laborum".split())
-FILLER = re.compile(
-    r"(?i)\b(sample text goes here|description goes here|text goes here|your (headline|title|text|content|tagline|logo|description) (goes )?here|this is a placeholder|placeholder (paragraph|text)|replace it with your own|"
-    r"dummy text|todo: |write copy for this|blah blah|asdf asdf|blindtext|texte provisoire|texto de (relleno|ejemplo)|double click to edit|insert a (short )?(description|text)|"
-    r"first post was written by the installer|hello world! |welcome to wordpress|just another .{0,20} site|heading \d+$|title \d+$|for layout only|click here to (add|edit)|add your (text|content) here|lorem ipsum)"
+# The words of dummy copy, and how values are printed that a program failed to find.
+LATIN = (
+    "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor labore dolore magna aliqua enim minim veniam nostrud ullamco laboris nisi aliquip "
+    "commodo aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit anim laborum"
+).split()
+FAILED = r"(?<![\w-])(?:undefined|NaN|\[object Object\]|Invalid Date|#REF!|#VALUE!|#N/A|NoneType)(?![\w-])|^(?:null|None|nil)$|(?<=\s)null(?=\s|$)"
+# Seeds of filler; further lines are found by the company they keep.
+FILLER = r"(?i)\b(?:sample|dummy|filler|placeholder) (?:text|copy|paragraph)\b|\b(?:text|description|headline|title|content|summary|tagline) goes here\b|\byour \w+ here\b|\b(?:double )?click to edit\b|\bblindtext\b|\btexte provisoire\b|\btexto de relleno\b|\bTODO:|\b(?:blah|asdf|qwerty) (?:blah|asdf|qwerty)\b"
+# Words by which a sentence speaks of placeholders and filler, not holds them.
+MENTION = (
+    r"(?i)\b(?:such as|like|e\.g\.|for example|for instance|called|named|syntax|placeholders?|variables?|swap(?:s|ped)?|replaces?|fill(?:s|ed)? it|fills? in|converts?|detects?|finds?|checks?|lists?|listed|"
+    r"explains?|highlights?|warns?)\b.*(?:{p}|lorem)|(?:{p}|lorem).*\b(?:swap(?:s|ped)?|replaces?|fill(?:s|ed)? it|fills? in|listed|highlighted|explained|syntax|placeholders?|variables?)\b|\b\w+-variable\b"
 )
-FAILED = re.compile(r"(?<![\w-])(undefined|NaN|\[object Object\]|Invalid Date|#REF!|#VALUE!|#N/A|NoneType)(?![\w-])|^(null|None|nil)$|(?<=\s)null(?=\s|$)")
-# Sentences that speak of such things.
-MENTION = re.compile(
-    r"(?i)(^write \{\{|fills? it in|placeholders? such as|listed beside|swaps lorem ipsum|undefined-variable|\bvariables? (check|such as)|for real .+ before|template (language|syntax)|"
-    r"syntax (is|such as)|such as \{\{|like \{\{|e\.g\. \{\{)"
+# Seeds of error messages and of notices about scripts.
+ERRORS = r"(?i)\b(?:not found|introuvable|nicht gefunden|no encontrada|forbidden|access denied|(?:bad|internal|server|gateway|application|fatal) (?:gateway|error|server|time-?out)|service unavailable|traceback|exception|unavailable|timed? ?out|does not exist|blocked|too many requests)\b|\berror\b"
+SCRIPTS = (
+    r"(?i)\b(?:javascript|scripts?|scripting)\b.*\b(?:enabled?|disabled|activated?|turn|required?|needed|needs?|switch|on|off|must|blocks?)\b|"
+    r"\b(?:enable|activate|activar|activer|aktivieren|allow|turn on|switch|requires?|needs?)\b.*\b(?:javascript|scripts?)\b|\b(?:javascript|scripts?)\b.*\b(?:activar|activer|aktivieren)\b|"
+    r"\b(?:checking|looking at|look at|verifying|verify)\b.*\b(?:human|browser|robot|connection)\b|\byour browser\b"
 )
-#: A line is boilerplate of its host when it recurs on so many pages and on such a share of them.
-PAGES, SHARE = 3, 0.2
-#: A host is hot with more than one page in so many; its pages are spread over so many keys.
-HOT, SALTS = 200, 32
+#: A recurrent line tells an error when this share of its addresses has no sentence of its own beside it, a notice from the second share on.
+ALONE, SOMETIMES = 0.8, 0.25
+#: A recurrent line is evidence when this share of its addresses is already found.
+COMPANY = 0.9
 
 
-def line_key(line: Column) -> Column:
-    """A line without case, digits and outer blanks."""
-    return F.regexp_replace(F.lower(F.trim(F.regexp_replace(line, "[\\s\\x{a0}]+", " "))), "\\d+", "0")
+def _sentences(line: Column) -> Column:
+    return F.split(line, "(?<=[.!?])\\s+")
 
 
-def host_lines(fetches: DataFrame) -> DataFrame:
-    """(host, key, pages): on how many addresses of its host a normalised line stands, over all
-    fetches; fetching one address again and again makes nothing recurrent."""
-    host = F.coalesce(weburls.parts(F.col("final_url"))["host"], weburls.parts(F.col("url"))["host"], F.lit(""))
-    keys = F.array_distinct(F.transform(F.split("text", "\n"), line_key))
-    address = F.xxhash64(F.coalesce(weburls.parts(F.coalesce("final_url", "url"))["page"], F.lit("")))
-    lines = fetches.where("text is not null").select(host.alias("host"), address.alias("address"), F.explode(keys).alias("key")).where("key <> ''")
-    return lines.groupBy("host", "key").agg(F.countDistinct("address").alias("pages"))
+def _unfilled(line: Column) -> Column:
+    """Whether a line has an unfilled place that it does not merely speak of."""
+    p = PLACEHOLDER.replace("(?i)", "")
+    mention = MENTION.replace("{p}", p)
+    found = F.exists(_sentences(line), lambda s: s.rlike(PLACEHOLDER) & ~s.rlike(mention))
+    return F.when(line.rlike("[{}\\[<%@*]|__|\\$t"), found).otherwise(F.lit(False))
+
 
+def _filled(line: Column) -> Column:
+    """Whether a line has dummy copy or a value that failed to print."""
+    latin = "\\b(?:" + "|".join(LATIN) + ")\\b"
+    low = F.lower(line)
+    dummy = F.when(low.rlike("lorem|ipsum|dolor|amet|elit|tempor|labore|magna|aliqu|nulla|culpa|mollit"), F.regexp_count(low, F.lit(latin)) >= F.greatest(F.lit(3), 0.6 * F.regexp_count(low, F.lit("[a-z]+")))).otherwise(F.lit(False))
+    spoken = line.rlike(MENTION.replace("{p}", "undefined|null|NaN"))
+    failed = F.when(line.rlike("undefined|NaN|object|Invalid|#|None|nil|null"), line.rlike(FAILED) & ~spoken).otherwise(F.lit(False))
+    said = F.when(low.rlike("text|copy|paragraph| here|click|blind|todo|blah|asdf|qwerty"), line.rlike(FILLER) & ~line.rlike("(?i)\\b(?:swaps?|replaces|for real|such as)\\b")).otherwise(F.lit(False))
+    return dummy | failed | said
 
-def _filler(sentence: str) -> bool:
-    if FILLER.search(sentence) or FAILED.search(sentence):
-        return True
-    w = re.findall(r"[a-z]+", sentence.lower())
-    return len(w) >= 4 and sum(x in LATIN for x in w) >= 0.6 * len(w)
 
+def page_lines(fetches: DataFrame) -> DataFrame:
+    """The lines of all pages with what each tells by itself: unfilled, filled, wrong, script."""
+    f = fetches.select("fetch_id", "url", "final_url", "text", "status").where("fetch_id is not null")
+    x = F.trim(F.col("line"))
+    return L.of_pages(f, "fetch_id", ("unfilled", _unfilled(x)), ("filled", _filled(x)), ("wrong", F.lower(x).rlike(ERRORS.replace("(?i)", "")) & ~x.endswith("?")), ("script", x.rlike("(?i)script|browser|human|robot") & x.rlike(SCRIPTS)), ("size", F.length(x)))
 
-def _unfilled(sentence: str) -> bool:
-    m = PLACEHOLDER.search(sentence)
-    while m and _CASED.match(m[0]):
-        m = PLACEHOLDER.search(sentence, m.end())
-    return m is not None
 
+def host_lines(fetches: DataFrame) -> DataFrame:
+    """(key, hosts, addresses): on how many hosts and addresses each normalised line stands."""
+    f = fetches.select("fetch_id", "url", "final_url", "text").where("fetch_id is not null")
+    return L.recurrence(L.of_pages(f, "fetch_id"))
 
-def leftover(text: str, recurrent: frozenset[str] = frozenset()) -> str:
-    """Why a page's text is to be excluded: 'placeholder', 'filler', 'error', 'script', or ''.
 
-    ``recurrent`` holds the keys of its host's boilerplate lines.
-    """
-    page = Page(text)
-    body, notices, errors = [], 0, 0
-    for line, under in zip(page.lines, page.under):
-        r = rule(line)
-        key = re.sub(r"\d+", "0", " ".join(line.lower().split()))
-        if r == "notice" or NOTICE.match(line):
-            notices += 1
-        elif ERROR.match(line) and not line.endswith("?") and len(line) < 140 and not re.match(r"(?i)access denied\? ", line):
-            errors += 1
-        elif not r and under < 0 and (key not in recurrent or _unfilled(line) or _filler(line)):
-            body.append(line)
-    solid = 0
-    for line in body:
-        if is_name(line) and not _unfilled(line):  # a title alone is no page
-            continue
-        for s in re.split(r"(?<=[.!?])\s+", line):
-            if MENTION.search(s):
-                solid += 1
-                continue
-            if _unfilled(s):
-                return "placeholder"
-            if _filler(s):
-                return "filler"
-            solid += len(s) > 0
-    if not solid:
-        return "error" if errors else "script" if notices else ""
-    # A short remainder beside error lines (a title, a code, a hint) is part of the message.
-    if errors and len(body) <= 2 * errors and all(len(x) <= 70 for x in body) and sum(len(x) for x in body) <= 90 and not any(re.match(r"(?i)meet |why ", x) for x in body):
-        return "error"
-    return ""
-
-
-def excluded(fetches: DataFrame) -> DataFrame:
-    """(fetch_id, reason) of the records to exclude.
-
-    Lines are counted by host over all pages; the counts that make a line boilerplate of its
-    host (``PAGES`` pages and ``SHARE`` of the host's) are few and are joined to the pages by
-    host, split by page so that a host with a third of all pages is no single task. Null texts
-    and ids are no cases, and neither is an empty text; rows that repeat a fetch_id count once.
+def excluded(fetches: DataFrame, hosts: int = L.HOSTS) -> DataFrame:
+    """(fetch_id, reason) of the records to exclude: placeholder, filler, error or script.
+
+    Lines are counted over all pages by address and host. A line on ``hosts`` or more hosts is
+    subtracted from a page's own sentences; among those lines the ones that mostly stand alone
+    are evidence of an error or a notice. Null texts and ids are no cases, and neither is an
+    empty text; rows that repeat a fetch_id count once.
     """
-    f = fetches.select("fetch_id", "url", "final_url", "text").where("fetch_id is not null and text is not null")
-    host = F.coalesce(weburls.parts(F.col("final_url"))["host"], weburls.parts(F.col("url"))["host"], F.lit(""))
-    counts = host_lines(f)
-    address = F.coalesce(weburls.parts(F.coalesce("final_url", "url"))["page"], F.lit(""))
-    sizes = f.select(host.alias("host"), address.alias("address")).groupBy("host").agg(F.countDistinct("address").alias("n"))
-    boiler = counts.where(F.col("pages") >= PAGES).join(sizes, "host").where(F.col("pages") >= SHARE * F.col("n"))
-    # At most 1 / SHARE lines of a host for each line of its mean page, so a host's list is short.
-    boiler = boiler.groupBy("host").agg(F.collect_list("key").alias("recurrent"))
-    # Hosts with more than one page in HOT, of which there can't be HOT: their pages are split.
-    total = f.count()
-    hot = [r["host"] for r in bounded_rows(f.select(host.alias("host")).groupBy("host").count().where(F.col("count") * HOT > total), HOT, "the hot hosts")]
-    is_hot = F.col("host").isin(hot) if hot else F.lit(False)
-    boiler = boiler.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
-    pages = spread(f.select(F.col("fetch_id").cast("bigint").alias("fetch_id"), host.alias("host"), "text"))
-    pages = pages.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64("fetch_id"), F.lit(SALTS)).cast("int")).otherwise(0))
-    pages = pages.join(boiler, ["host", "salt"], "left").select("fetch_id", "text", "recurrent")
-
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            why = [leftover(t, frozenset(r or ())) for t, r in zip(b["text"].to_pylist(), b["recurrent"].to_pylist())]
-            out = [(i, w) for i, w in zip(b["fetch_id"].to_pylist(), why) if w]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), pa.array([w for _, w in out], pa.string())], ["fetch_id", "reason"])
-
-    return pages.mapInArrow(judged, "fetch_id bigint, reason string").groupBy("fetch_id").agg(F.min("reason").alias("reason"))
+    lines = cut(page_lines(fetches))
+    rows = lines.count()
+    known = L.recurrence(lines).where(F.col("hosts") >= hosts).select("key", "addresses")
+    lines = cut(L.with_counts(lines, known, rows).withColumn("recurs", F.col("addresses").isNotNull()).drop("addresses"))
+    hit = F.col("unfilled") | F.col("filled")
+    own = F.col("prose") & ~F.col("recurs") & ~hit & ~F.col("wrong") & ~F.col("script")
+    found = lines.groupBy("fetch_id").agg(F.max(own).alias("bodied"), F.max(hit).alias("hit"))
+    told = lines.where("recurs").join(found, "fetch_id")
+    alone = ~F.col("bodied") & ~F.col("hit")
+    company = L.recurrence(told, ("all_hits", F.col("hit")), ("alone", alone))
+    company = company.select("key", "addresses", (F.col("all_hits") >= COMPANY * F.col("addresses")).alias("follows"), (F.col("alone") / F.col("addresses")).alias("share"))
+    lines = L.with_counts(lines, company, rows)
+    evidence = F.when(F.col("recurs"), (F.col("share") >= ALONE) | ((F.col("share") >= SOMETIMES) & (F.col("wrong") | F.col("script")))).otherwise(F.col("wrong") | F.col("script"))
+    page = lines.groupBy("fetch_id").agg(
+        F.max(F.col("unfilled")).alias("placeholder"),
+        F.max(F.col("filled") | (F.coalesce("follows", F.lit(False)) & ~F.col("unfilled"))).alias("filler"),
+        F.max(own).alias("bodied"),
+        F.max(F.coalesce(evidence, F.lit(False)) & ~F.col("script")).alias("error"),
+        F.max(F.coalesce(evidence, F.lit(False)) & F.col("script")).alias("script"),
+    )
+    reason = F.when(F.col("placeholder"), "placeholder").when(F.col("filler"), "filler").when(~F.col("bodied") & F.col("error"), "error").when(~F.col("bodied") & F.col("script"), "script")
+    return page.select("fetch_id", reason.alias("reason")).where("reason is not null")

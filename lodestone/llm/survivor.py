@@ -6,6 +6,10 @@ rows are never gathered or sorted, so a group of any size costs one partial aggr
 
 from __future__ import annotations
 
+import math
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,34 +38,49 @@ def usable_categories(c: Column) -> Column:
     return F.coalesce(F.exists(c, lambda x: F.coalesce((_plain(x) != "") & ~_plain(x).rlike(EMPTY_CATEGORY), F.lit(False))), F.lit(False))
 
 
-def _squeezed(c: Column) -> Column:
-    return F.regexp_replace(F.lower(c), "[^\\p{L}\\p{N}]+", "")
+def _squeezed(text: str | None) -> str:
+    return re.sub(r"[^\w]|_", "", (text or "").lower())
 
 
 def row_trust(sources: Column, configs: DataFrame, unknown: float = 0.5, max_sources: int = 20_000) -> Column:
     """The highest trust of a row's sources, known by name, key or host of their URL.
 
-    ``configs`` is a registry of at most ``max_sources`` rows; it becomes a literal map, so the
-    lookup needs no join. Null trust counts ``unknown``; a row without sources ranks last (-1).
-    A source the registry does not know also counts ``unknown``.
+    ``configs`` is a registry of at most ``max_sources`` rows; it is broadcast once as a table of
+    keys, so the lookup needs no join. Null trust counts ``unknown``; a row without sources ranks
+    last (-1). A source the registry does not know also counts ``unknown``.
     """
-    known = configs.select("source_key", "name", "homepage", "listing_url", F.coalesce(F.col("trust"), F.lit(unknown)).alias("trust"))
-    known = known.withColumn("trust", F.when(F.isnan("trust"), F.lit(unknown)).otherwise(F.col("trust")))
-    hosts = [F.concat(F.lit("h:"), weburls.parts(F.col(x))["host"]) for x in ("homepage", "listing_url")]
-    names = [F.concat(F.lit("n:"), _squeezed(F.col(x))) for x in ("source_key", "name")]
-    keyed = known.select(F.explode(F.array_compact(F.array(*hosts, *names))).alias("k"), "trust").where("k not in ('n:', 'h:')")
-    rows = bounded_rows(keyed.groupBy("k").agg(F.max("trust").alias("trust")).orderBy("k"), max_sources * 4, "the source registry")
-    if rows:
-        lookup = F.create_map(*[F.lit(x) for r in rows for x in (r["k"], float(r["trust"]))])
-    else:
-        lookup = F.create_map().cast("map<string,double>")
-
-    def of(s: Column) -> Column:
-        by_name = F.try_element_at(lookup, F.concat(F.lit("n:"), F.coalesce(_squeezed(s["name"]), F.lit(""))))
-        by_host = F.try_element_at(lookup, F.concat(F.lit("h:"), F.coalesce(weburls.parts(s["url"])["host"], F.lit(""))))
-        return F.when(s.isNotNull(), F.coalesce(by_name, by_host, F.lit(unknown)))
-
-    return F.coalesce(F.array_max(F.transform(sources, of)), F.lit(-1.0))
+    rows = bounded_rows(configs.select("source_key", "name", "homepage", "listing_url", "trust"), max_sources, "the source registry")
+    trusts: dict[tuple[str, str], float] = {}
+    for r in rows:
+        trust = unknown if r["trust"] is None or math.isnan(r["trust"]) else float(r["trust"])
+        hosts = [(weburls.spelled(u) or {}).get("host") for u in (r["homepage"], r["listing_url"]) if u]
+        for key in [("name", _squeezed(r["source_key"])), ("name", _squeezed(r["name"])), *[("host", h) for h in hosts]]:
+            if key[1]:
+                trusts[key] = max(trust, trusts.get(key, trust))
+    shared = configs.sparkSession.sparkContext.broadcast(trusts)
+
+    def of(names: list, urls: list) -> float:
+        known, best = shared.value, -1.0
+        for name, url in zip(names, urls):
+            t = known.get(("name", _squeezed(name)))
+            if t is None and url:
+                t = known.get(("host", (weburls.spelled(url) or {}).get("host")))
+            best = max(best, unknown if t is None else t)
+        return best
+
+    @F.arrow_udf("double")
+    def trust(names: pa.Array, urls: pa.Array) -> pa.Array:
+        seen: dict[tuple, float] = {}
+        out = []
+        for n, u in zip(names.to_pylist(), urls.to_pylist()):
+            key = (tuple(n or ()), tuple(u or ()))
+            if key not in seen:
+                seen[key] = of(*key)
+            out.append(seen[key])
+        return pa.array(out, pa.float64())
+
+    present = F.filter(F.coalesce(sources, F.array()), lambda s: s.isNotNull())
+    return trust(F.transform(present, lambda s: s["name"]), F.transform(present, lambda s: s["url"]))
 
 
 def survivors(groups: DataFrame, configs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.folding import LOOKALIKES, invisible, spaces
-from lodestone.session import spread
+from lodestone.session import cut, spread
 
 # Signs drawn like a plain one.
 SIGNS = {"‐": "-", "‑": "-", "․": ".", "ꞌ": "'", "ː": ":", "∶": ":", "∕": "/", "⁄": "/", "∣": "|", "ǃ": "!"}
@@ -28,7 +28,8 @@ _PICTURE = "←-⇿⌀-➿⬀-⯿\U0001f000-\U0001faff"
 
 @lru_cache(1)
 def _marks() -> str:
-    return "".join(chr(c) for c in range(0x300, sys.maxunicode + 1) if c < 0x20000 and unicodedata.combining(chr(c)))
+    """Combining marks, and the half-width voicing signs, which belong to the kana before them."""
+    return "".join(chr(c) for c in range(0x300, 0x20000) if unicodedata.combining(chr(c))) + "\uff9e\uff9f"
 
 
 def _wide(ch: str) -> str:
@@ -56,42 +57,45 @@ def transducer() -> Callable[[str], str]:
     """The compiled mapping. Raises ValueError if the single-character table has a conflict: an
     output that is itself rewritten, which would make the form depend on the number of passes."""
     table = {}
-    for c in [*range(0xA0, 0x3100), *range(0xA640, 0xA720), *range(0xF900, 0xFFF0)]:
-        ch = chr(c)
+    # Every character that a table names, a width or presentation form, or one with a canonical mapping.
+    mapped = (c for c in (*range(0xA0, 0xD800), *range(0xF900, 0x10000), *range(0x1D100, 0x1D200), *range(0x2F800, 0x2FA20)) if not 0x3400 <= c <= 0xA000 and not 0xAC00 <= c < 0xD7B0)
+    for ch in sorted({*map(chr, mapped), *SIGNS, *LOOKALIKES}):
         if unicodedata.category(ch) != "Cn" and not unicodedata.combining(ch) and (form := cluster_form(ch)) != ch:
             table[ch] = form
     for source, form in table.items():
         if form != cluster_form(form) or any(x in table for x in form):
             raise ValueError(f"U+{ord(source):04X} maps to {form!r}, which is rewritten again")
-    gone, marks = re.escape(invisible()), re.escape(_marks())
-    singles = re.escape("".join(table))
-    # Alternatives in order of length: joined pictures stay as they are, clusters, single characters, line ends.
+    gone, marks, blanks = re.escape(invisible()), re.escape(_marks()), re.escape(spaces())
+    singles = re.escape("".join(x for x in table if x not in _SETS["space"]))
+    # Alternatives in order: joined pictures stay as they are, blanks at a line's end go, then clusters, syllables, single characters, line ends.
     pattern = re.compile(
         rf"(?P<keep>[{_PICTURE}][︎️]?(?:‍[{_PICTURE}][︎️]?)+)"
-        rf"|(?P<cluster>[^{gone}{marks}\n\r](?:[{gone}]*[{marks}])+)"
-        rf"|(?:[{gone}]|[{singles}](?![{gone}]*[{marks}]))+"
-        r"|[ \t]*\r\n?|[ \t]+(?=\n|\Z)"
+        rf"|(?P<end>[ \t{blanks}{gone}]+(?=[\r\n]|\Z))"
+        rf"|(?P<cluster>[^{gone}{marks}\n\r](?:[{gone}]*[{marks}])+|[\u1100-\u115e][{gone}]*[\u1161-\u11a7](?:[{gone}]*[\u11a8-\u11ff])?)"
+        rf"|(?P<blank>[{blanks}])|(?:[{gone}](?![ \t{blanks}{gone}]*(?:[\r\n]|\Z))|[{singles}](?![{gone}]*[{marks}]))+"
+        r"|\r\n?"
     )
 
     # Most texts hold nothing to rewrite: no character of the tables and no blank at a line's end.
-    foreign = frozenset(table) | _SETS["gone"] | frozenset(_marks())
+    foreign = frozenset(table) | _SETS["gone"] | _SETS["space"] | frozenset(_marks()) | frozenset(map(chr, range(0x1100, 0x1200)))
 
     def rewrite(m: re.Match) -> str:
         if m["keep"]:
             return m["keep"].replace("️", "").replace("︎", "")
         x = m[0]
+        if m["end"]:
+            return ""
         if m["cluster"]:
             return cluster_form(x)
-        if x[-1] in "\r\n":
-            return "\n"
-        return "" if x.isascii() else "".join(map(cluster_form, x))
+        if m["blank"]:
+            return " "
+        return "\n" if x[0] == "\r" else "".join(map(cluster_form, x))
 
     def form(text: str) -> str:
         straight = "\r" not in text and " \n" not in text and "\t\n" not in text and text[-1:] not in (" ", "\t")
         if straight and (text.isascii() or foreign.isdisjoint(text)):
             return text
-        out = pattern.sub(rewrite, text)
-        return re.sub(r"[ \t]+(?=\n|\Z)", "", out)
+        return pattern.sub(rewrite, text)
 
     return form
 
@@ -122,7 +126,9 @@ def look_alike_pairs(documents: DataFrame) -> DataFrame:
     d = spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null"))
     d = d.select("doc_id", F.md5(F.col("text")).alias("t"), F.md5(visual_form("text")).alias("f")).distinct()
     mixed = d.groupBy("f").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("f")
-    d = d.join(mixed, "f", "left_semi")
-    left = d.select("f", F.col("doc_id").alias("left_doc_id"), F.col("t").alias("lt"))
-    right = d.select("f", F.col("doc_id").alias("right_doc_id"), F.col("t").alias("rt"))
-    return left.join(right, "f").where("left_doc_id < right_doc_id and lt <> rt").select("left_doc_id", "right_doc_id").distinct()
+    d = cut(d.join(mixed, "f", "left_semi"))
+    # Different texts of one form meet once; only then do their documents follow.
+    t = d.select("f", "t").distinct()
+    texts = t.select("f", F.col("t").alias("lt")).join(t.select("f", F.col("t").alias("rt")), "f").where("lt < rt").select("lt", "rt")
+    pairs = texts.join(d.select(F.col("t").alias("lt"), F.col("doc_id").alias("x")), "lt").join(d.select(F.col("t").alias("rt"), F.col("doc_id").alias("y")), "rt")
+    return pairs.where("x <> y").select(F.least("x", "y").alias("left_doc_id"), F.greatest("x", "y").alias("right_doc_id")).distinct()

@@ -1,63 +1,46 @@
-"""One spelling for every web address, as Spark columns.
+"""One spelling for every web address, as a Spark column.
 
 ``page`` keeps what selects a page (host, path, meaningful query, in-app route) and drops what
 does not: scheme, ``www``, default ports, index files, doubled or trailing slashes, tracking
 parameters and anchors.
 """
 
-from __future__ import annotations
-
-from collections.abc import Callable
+import re
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-# Parameters that tell where a visitor came from.
-TRACKING = r"^(utm_[a-z_]*|gclid|fbclid|msclkid|dclid|yclid|igshid|mc_cid|mc_eid|ref|referrer|source|src|via|campaign|affiliate|aff)$"
-_SHAPE = r"^(?:https?:)?(?://)?(?:[^/?#@\s]*@)?([^/?#:\s@]+\.[a-z][a-z0-9-]*)\.?(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
-_ENDS = "^[\\s\\x{a0}\\x{200b}\\x{feff}]+|[\\s\\x{a0}\\x{200b}\\x{feff}]+$"
-
 
-def _decoded(text: Column) -> Column:
-    return F.coalesce(F.try_url_decode(F.regexp_replace(text, r"\+", "%2B")), text)
+from lodestone.functions.batches import per_value
 
-
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _split(u: Column) -> Column:
-    at = lambda k: F.regexp_extract(u, _SHAPE, k)
-    named = F.named_struct(*[x for k, name in enumerate(("host", "port", "path", "query", "route"), 1) for x in (F.lit(name), at(k))])
-    return F.when(u.rlike(_SHAPE), named)
+# Parameters that tell where a visitor came from.
+TRACKING = re.compile(r"(utm_[a-z_]*|gclid|fbclid|msclkid|dclid|yclid|igshid|mc_cid|mc_eid|ref|referrer|source|src|via|campaign|affiliate|aff)")
+_SHAPE = re.compile(r"(?:https?:)?(?://)?(?:[^/?#@\s]*@)?([^/?#:\s@]+\.[a-z][a-z0-9-]*)\.?(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?", re.S)
+_INDEX = re.compile(r"/(index|home|default)\.(html?|php\d?|aspx?|jsp)$")
+_ENDS = " \t\n\r\f\v\xa0​﻿"
 
 
-def _clean(s: Column) -> Column:
-    port = s["port"]
-    host = F.concat(F.regexp_replace(s["host"], r"^www\.", ""), F.when(port.isin("", "80", "443"), F.lit("")).otherwise(F.concat(F.lit(":"), port)))
-    path = F.regexp_replace(_decoded(s["path"]), "/{2,}", "/")
-    path = F.regexp_replace(path, r"/(index|home|default)\.(html?|php\d?|aspx?|jsp)$", "/")
-    path = F.regexp_replace(path, "/+$", "")
-    pairs = F.filter(F.split(s["query"], "&"), lambda x: (x != "") & ~F.regexp_extract(x, "^([^=]*)", 1).rlike(TRACKING))
-    query = F.array_join(F.array_sort(F.transform(pairs, _decoded)), "&")
-    route = F.when(s["route"].rlike("^[/!]"), F.regexp_replace(_decoded(s["route"]), "[?].*$|/+$", "")).otherwise(F.lit(""))
-    return F.when(s.isNotNull(), F.named_struct(F.lit("host"), host, F.lit("path"), path, F.lit("query"), query, F.lit("route"), route))
+def spelled(url: str) -> dict | None:
+    """host, path, page and front of one address, or None if it is none."""
+    m = _SHAPE.fullmatch(url.strip(_ENDS).lower())
+    if m is None:
+        return None
+    host = m[1].removeprefix("www.") + ("" if m[2] in (None, "", "80", "443") else f":{m[2]}")
+    path = _INDEX.sub("/", re.sub("/{2,}", "/", unquote(m[3]))).rstrip("/")
+    query = "&".join(sorted(unquote(x) for x in (m[4] or "").split("&") if x and not TRACKING.fullmatch(x.split("=", 1)[0])))
+    route = m[5] or ""
+    route = re.sub(r"[?].*$|/+$", "", unquote(route), flags=re.S) if route[:1] in ("/", "!") else ""
+    page = host + path + (f"?{query}" if query else "") + (f"#{route}" if route else "")
+    return {"host": host, "path": path, "page": page, "front": not (path or query or route)}
 
 
-def _whole(p: Column) -> Column:
-    query = F.when(p["query"] != "", F.concat(F.lit("?"), p["query"])).otherwise(F.lit(""))
-    route = F.when(p["route"] != "", F.concat(F.lit("#"), p["route"])).otherwise(F.lit(""))
-    page = F.concat(p["host"], p["path"], query, route)
-    front = (p["path"] == "") & (p["query"] == "") & (p["route"] == "")
-    return F.when(p.isNotNull(), F.named_struct(F.lit("host"), p["host"], F.lit("path"), p["path"], F.lit("page"), page, F.lit("front"), front))
+_KIND = pa.struct([("host", pa.string()), ("path", pa.string()), ("page", pa.string()), ("front", pa.bool_())])
 
 
 def parts(url: Column) -> Column:
     """struct(host, path, page, front) of an address, all lower case, or null if it is none.
 
     ``page`` is the address in its one spelling; ``front`` tells whether it is the front page of
-    its host.
+    its host. Each distinct value of an Arrow batch is parsed once.
     """
-    u = F.lower(F.regexp_replace(url, _ENDS, ""))
-    return once(u, lambda x: once(_split(x), lambda s: once(_clean(s), _whole)))
+    return per_value("web address", spelled, "struct<host:string,path:string,page:string,front:boolean>", _KIND)(url)

@@ -24,11 +24,12 @@ def test_automaton_equals_brute_force():
 
 
 def test_paths():
-    c = Canon([(1, "Writing and Editing", "Tools for copywriting; text drafting."), (2, "Video Production", "Tools for clip maker; film editing."), (3, "free", "Also said: no cost; gratis."), (4, "one_time", None)])
-    for v in ("WRITING & EDITING", "Editing + Writing", "Writ. and Edit.", "ai-powered Writing and Editing & more", "copywritng", "#Writing_and_Editing 🚀", "text ddrafting"):
+    c = Canon([(1, "Writing and Editing", "Tools for copywriting; text drafting.", ("ghostwriting",)), (2, "Video Production", "Tools for clip maker; film editing.", ()), (3, "free", "Also said: no cost; gratis.", ("$0",)), (4, "one_time", None, ()), (5, "Three-Dimensional Modeling", None, ())])
+    for v in ("WRITING & EDITING", "Editing + Writing", "Writ. and Edit.", "ai-powered Writing and Editing & more", "copywritng", "#Writing_and_Editing 🚀", "text ddrafting", "Ghost-writing"):
         assert c.find(v) == 1, v
-    for v, want in (("clip maker", 2), ("$0", 3), ("freé", 3), ("one time", 4), ("ONE-TIME", 4), ("gardening", 0), ("???", 0), ("", 0), ("2024", 0), ("frog", 0), ("z" * 30_000, 0)):
+    for v, want in (("clip maker", 2), ("$0", 3), ("freé", 3), ("one time", 4), ("ONE-TIME", 4), ("Thre. Mode.", 5), ("gardening", 0), ("???", 0), ("", 0), ("2024", 0), ("frog", 0), ("z" * 30_000, 0)):
         assert c.find(v) == want, v
+    assert c.all_within("Vdeo Productoin") == {2: 2} and c.all_within("film editing") == {2: 0} and c.all_within("") == {}
 
 
 def test_rows(spark):
@@ -37,4 +38,8 @@ def test_rows(spark):
     canon = spark.createDataFrame([(1, "categories", "Legal Work", "Tools for law."), (2, "pricing_model", "free", None), (3, "categories", None, None)], "canonical_id int, field_name string, label string, gloss string")
     got = {tuple(r) for r in canonical.canonical_values(raw, tools, canon).collect()}
     assert got == {("categories", 1, 1, 1), ("categories", 1, 4, 0), ("primary_task", 9, 0, 0), ("pricing_model", 9, 0, 2)}
+    every = {tuple(r) for r in canonical.canonical_values(raw, tools, canon, every=True).collect()}
+    assert every == {("categories", 1, 1, 1, 1), ("pricing_model", 9, 0, 2, 0)}
+    more = spark.createDataFrame([("categories", "Legal Work", "x"), ("categories", "Legal Work", None)], "field_name string, label string, alias string")
+    assert ("categories", 1, 4, 1) in {tuple(r) for r in canonical.canonical_values(raw, tools, canon, more).collect()}
     assert canonical.canonical_values(raw.where("false"), tools.where("false"), canon.where("false")).count() == 0

@@ -25,7 +25,7 @@ def brute(edges):
     return {v: find(v) for v in parent}
 
 
-@pytest.mark.parametrize("max_edges", [1_000_000, 40])
+@pytest.mark.parametrize("max_edges", [1_000_000, 40, 3])
 def test_groups_equal_brute_force(spark, max_edges):
     rng = random.Random(3)
     edges = [(rng.randint(1, 260), rng.randint(1, 260)) for _ in range(170)] + [(1, k) for k in range(300, 360)] + [(k, k + 1) for k in range(500, 560)]

@@ -25,3 +25,11 @@ def test_leaks(spark):
     assert {tuple(r) for r in C.leaks(docs, items).collect()} == {(1, 70), (2, 70), (7, 70), (10, 70)}
     assert C.leaks(docs.where("false"), items).count() == 0
     assert C.leaks(docs, items.where("false")).count() == 0
+
+
+def test_long_sentence(spark):
+    ws = [f"term{chr(97 + k % 26)}{k}" for k in range(130)]
+    changed = [w if k % 6 else f"other{k}" for k, w in enumerate(ws)]
+    docs = spark.createDataFrame([(1, "Start. " + " ".join(ws) + "."), (2, " ".join(changed)), (3, " ".join(ws[:60])), (4, " ".join(reversed(ws)))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(70, " ".join(ws) + ".")], "item_id bigint, text string")
+    assert {tuple(r) for r in C.leaks(docs, items).collect()} == {(1, 70), (2, 70)}

@@ -17,7 +17,13 @@ def test_label_model_finds_the_good_voter():
     assert p[(1, 1, -1)] > 0.9 and p[(-1, -1, 1)] < 0.1 and p[(1, 1, 1)] > 0.95
 
 
-def test_pairs(spark):
+def test_deletions():
+    for a, b, one in (("lantern", "lantrn", True), ("lantern", "lanetrn", True), ("lantern", "lanterns", True), ("lantern", "kettle", False)):
+        assert bool(L.deletions(a) & L.deletions(b)) == one
+    assert len(L.deletions("x" * 20_000)) == 2
+
+
+def test_pairs(spark, monkeypatch):
     rows = [
         (1, "Hubnopab Summit", "a", "https://a.test/t/hubnopab-summit", "https://hubnopabsummit.test/", None), (2, "The Hubnopab Summit", "b", None, "http://www.hubnopabsummit.test?ref=x", None),
         (3, "Summit by Hubnopab", "c", "https://c.test/t/9", None, None), (4, "Hubnopab Jigsaw", "b", None, "https://hubnopabsummit.test/jigsaw", None), (5, "Hubnopab Sumit", "d", None, "https://hubnopabsummit.test/index.html", None),
@@ -30,7 +36,13 @@ def test_pairs(spark):
         filler += [(100 + 3 * k, f"{maker} Lantern", "a", None, f"https://{maker}lantern.test", None), (101 + 3 * k, f"{maker.upper()} LANTERN", "b", None, f"https://www.{maker}lantern.test/", None), (102 + 3 * k, f"{maker} Kettle", "b", None, f"https://{maker}lantern.test/kettle", None)]
     df = spark.createDataFrame([(*r, "p", 1) for r in rows + filler], ROW)
     conf = spark.createDataFrame([(x, x.upper(), f"https://{x}.test/", f"https://{x}.test/t/") for x in "abcd"], CONF)
-    got = {tuple(r) for r in L.row_pairs(df, conf).collect()}
+    found = L.row_pairs(df, conf).collect()
+    assert all(0.5 <= r["confidence"] <= 1 for r in found)
+    got = {(r["left_row_id"], r["right_row_id"]) for r in found}
+    monkeypatch.setattr(L, "PART", 2)
+    assert {(r["left_row_id"], r["right_row_id"]) for r in L.row_pairs(df, conf).collect()} == got
+    scored = L.scored(df, conf).collect()
+    assert {r["confidence"] >= 0.5 for r in scored} == {True, False} and all(r["left_row_id"] < r["right_row_id"] for r in scored)
     assert {(a, b) for a, b in got if b < 100} == {(1, 2), (1, 3), (2, 3), (1, 5), (2, 5), (3, 5), (7, 8), (13, 14), (14, 15)}
     assert {(a, b) for a, b in got if a >= 100} == {(100 + 3 * k, 101 + 3 * k) for k in range(40)}
     assert L.row_pairs(df.where("false"), conf).count() == 0

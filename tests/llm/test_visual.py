@@ -17,6 +17,8 @@ def test_forms():
     assert f("line \r\nnext\t") == "line\nnext"
     assert f("👩‍💻") != f("👩💻")
     assert f("") == ""
+    assert f("ｶﾞ") == f("ガ") == "ガ" and f("각") == "각" and f("itꞌs") == "it's" and f("a\U000e0100b") == "ab"
+    assert f("end \u200b\u00a0\nx\u00a0") == "end\nx"
 
 
 @settings(max_examples=200, deadline=None)
