@@ -63,6 +63,12 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a table of the shared folder that is no longer needed."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     """Give work that is heavy on the CPU enough tasks.
 
