@@ -56,6 +56,25 @@ def merge_candidates(candidates: DataFrame) -> DataFrame:
     return one.join(united(c, "key", "categories", ["row_id"], "categories"), "key", "left").withColumn("categories", F.coalesce("categories", F.array().cast("array<string>")))
 
 
+def _keyed(candidates: DataFrame) -> DataFrame:
+    return candidates.where("row_id is not null").withColumn("key", urls.candidate_key(F.col("name"), F.col("website"), F.col("listing_url")))
+
+
+def merged_signals(candidates: DataFrame) -> DataFrame:
+    """(key, signal, value): the signals of all sightings of one identity, named source.signal, the first row's value of each.
+
+    One row per signal, so an identity that very many sources show is no single value; signals
+    that are no JSON object, null values and rows without source are left out.
+    """
+    c = _keyed(candidates).where("source_key is not null").select("key", "row_id", "source_key", F.explode(F.from_json("raw_signals", "map<string,string>")).alias("name", "value")).where("value is not null")
+    return c.groupBy("key", F.concat_ws(".", "source_key", "name").alias("signal")).agg(F.min_by("value", "row_id").alias("value"))
+
+
+def contributions(candidates: DataFrame) -> DataFrame:
+    """(key, source_key, listing_url, row_id): which sources showed an identity where, the first row of each."""
+    return _keyed(candidates).groupBy("key", "source_key", "listing_url").agg(F.min("row_id").alias("row_id"))
+
+
 def golden_records(groups: DataFrame) -> DataFrame:
     """One record per group_no from rows already grouped.
 

@@ -31,6 +31,43 @@ def looks_like_challenge(body: Column, status: Column, first: int | None = None)
     return refused | F.coalesce(said, F.lit(False))
 
 
+# What the pages of products say that have ended, and of domains that are for sale.
+DEAD = (
+    "domain is for sale", "buy this domain", "this domain may be for sale", "parked domain", "account suspended", "website expired", "coming soon", "under construction",
+    "site not found", "no longer available", "we have shut down", "has shut down", "shutting down", "service discontinued", "this project is no longer maintained", "sunset",
+    "404 not found", "default web page", "welcome to nginx", "apache2 ubuntu default page", "future home of something quite cool",
+)
+# Those of them that are also names of features and count only in titles and headings.
+AMBIGUOUS = ("coming soon", "under construction", "sunset", "no longer available")
+#: Characters from which on a page is taken to say something.
+THIN = 400
+
+
+def is_html(content_type: Column, body: Column) -> Column:
+    """Whether an answer is a page: by its content type if it names one, else by its beginning tags."""
+    kind = F.lower(F.coalesce(content_type, F.lit("")))
+    sniffed = F.coalesce(F.lower(body).rlike("<html|<!doctype html"), F.lit(False))
+    return F.when(kind != "", kind.rlike("text/html|application/xhtml")).otherwise(sniffed)
+
+
+def failure(status: Column, body: Column, url: Column, final_url: Column, headings: Column | None = None) -> Column:
+    """Why an answer proves no product, the first of: fetch_failed, http_error, redirected_off_site,
+    dead_or_parked, thin_content; null where none applies. ``headings`` is the text of title and
+    headings, the only place where ambiguous words count."""
+    sure = "|".join("\\Q" + m + "\\E" for m in DEAD if m not in AMBIGUOUS)
+    dead = F.lower(body).rlike(sure)
+    if headings is not None:
+        dead = dead | F.coalesce(F.lower(headings).rlike("|".join(AMBIGUOUS)), F.lit(False))
+    away = F.coalesce(urls.product(url)["domain"] != urls.product(final_url)["domain"], F.lit(False))
+    return (
+        F.when(body.isNull() | status.isNull(), "fetch_failed")
+        .when(status >= 400, "http_error")
+        .when(away, "redirected_off_site")
+        .when(dead, "dead_or_parked")
+        .when(F.length(body) < THIN, "thin_content")
+    )
+
+
 def link_paths(body: Column) -> Column:
     """The distinct links of a page in order, without query and fragment; links that lead to no page
     and those that change with every answer are left out."""
@@ -61,26 +98,40 @@ def freshest(fetches: DataFrame) -> DataFrame:
     return good.groupBy("page").agg(top.alias("m"), F.count("*").alias("fetches")).select("page", "m.fetch_id", "m.fetched_at", "fetches")
 
 
-def walk(pages: DataFrame, max_pages: int = 100, failures: int = 2) -> DataFrame:
+def walk(pages: DataFrame, max_pages: int = 100, failures: int = 2, limit: int | None = None) -> DataFrame:
     """Stored listing pages (source_key, page_no, body, status, cards) with the walk's stop_reason.
 
-    A walk goes page by page and ends at the first page that is empty, repeats an earlier one, is
-    a bot check, or is one of too many failures in a row; that page's reason is given, later
-    pages are left out. Windows are per source, over page numbers, not over texts.
+    A walk goes page by page and ends at the first page that is one too many, was seen under its
+    ``url`` before, is one of too many failures in a row, is a bot check, repeats an earlier one,
+    is empty, brings the cards to the ``limit`` or, where ``next_url`` is a column, names no next
+    page; that page's reason is given, later pages are left out. Windows are per source, over
+    page numbers, not over texts.
     """
     by = W.partitionBy("source_key").orderBy("page_no")
-    p = pages.select("source_key", "page_no", "cards", "status", looks_like_challenge(F.col("body"), F.col("status")).alias("challenge"), fingerprint(F.col("body")).alias("print"), F.col("body").isNull().alias("failed"))
-    p = p.withColumn("seen", F.row_number().over(W.partitionBy("source_key", "print").orderBy("page_no")) > 1)
+    own = lambda c, kind: F.col(c) if c in pages.columns else F.lit(None).cast(kind)
+    p = pages.select(
+        "source_key", "page_no", "cards", "status", looks_like_challenge(F.col("body"), F.col("status")).alias("challenge"), fingerprint(F.col("body")).alias("print"), F.col("body").isNull().alias("failed"),
+        own("url", "string").alias("url"), own("next_url", "string").alias("next"),
+    )
+    again = lambda c: F.col(c).isNotNull() & (F.row_number().over(W.partitionBy("source_key", c).orderBy("page_no")) > 1)
+    p = p.withColumn("seen", again("print")).withColumn("seen_url", again("url"))
     lost = F.lit(True)
     for k in range(failures):
         lost = lost & F.coalesce(F.lag("failed", k).over(by), F.lit(False))
+    cards = F.coalesce("cards", F.lit(0))
+    good = ~F.col("failed")
     reason = (
         F.when(F.row_number().over(by) > max_pages, "max_pages")
+        .when(F.col("seen_url"), "seen_url")
         .when(lost, "consecutive_failures")
-        .when(~F.col("failed") & F.col("challenge"), "bot_challenge")
-        .when(~F.col("failed") & F.col("seen"), "repeated_content")
-        .when(~F.col("failed") & (F.coalesce("cards", F.lit(0)) == 0), "empty_page")
+        .when(good & F.col("challenge"), "bot_challenge")
+        .when(good & F.col("seen"), "repeated_content")
+        .when(good & (cards == 0), "empty_page")
     )
+    if limit is not None:
+        reason = reason.when(F.sum(cards).over(by) >= limit, "limit")
+    if "next_url" in pages.columns:
+        reason = reason.when(good & F.col("next").isNull(), "no_next")
     p = p.withColumn("stop_reason", reason)
     stop = F.min(F.when(F.col("stop_reason").isNotNull(), F.col("page_no"))).over(W.partitionBy("source_key"))
     return p.withColumn("_stop", stop).where("_stop is null or page_no <= _stop").select("source_key", "page_no", "cards", "stop_reason")

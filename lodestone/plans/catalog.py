@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import text, urls
 from lodestone.operators import edges, joins, merge, pages, pairs, prepare, reports
 from lodestone.operators import select as selection
-from lodestone.plans import oracle
+from lodestone.plans import oracle, workflow
 from lodestone.session import table
 from lodestone.sources import jsonl, registry
 
@@ -188,8 +188,8 @@ QUERIES = {
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return QUERIES | workflow.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.SQL)
+    return oracle.SQL | workflow.SQL

@@ -43,7 +43,7 @@ def _uuid(seed: str) -> str:
     return f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || lower(to_hex((('0x' || substr({h}, 17, 2))::int & 63) | 128)) || substr({h}, 19, 2) || '-' || substr({h}, 21, 12)"
 
 
-_KEYED = f"""
+KEYED = f"""
 with {addresses('raw_candidates', 'row_id', 'website', 'w')},
 {addresses('raw_candidates', 'row_id', 'listing_url', 'l')},
 k as (select r.*, coalesce(case when w.id is not null then case when w.root then 'domain:' else 'url:' end || w.key end, 'listing:' || l.url, 'name:' || lower(trim(coalesce(r.name, '')))) as key
@@ -97,7 +97,7 @@ SQL = {
   count(website) as with_website, count(*) filter (where identity_confidence = 'high') as high_confidence, count(*) filter (where coalesce(needs_review, false)) as needs_review,
   count(*) filter (where n_cats > 0) as with_categories, round(count(*) filter (where reject_reason is null) / count(*), 4) as acceptance_rate from p group by rollup (source_key)""",
     "reject_examples": f"{PREPARED} select code, place, row_id from (select reject_reason as code, cast(row_number() over (partition by reject_reason order by row_id) - 1 as int) as place, row_id from p where reject_reason is not null) where place < 5",
-    "merged_candidates": f"""{_KEYED}, o as (select key, min(row_id) as row_id, count(*) as sightings, count(distinct source_key) as sources, arg_min(name, row_id) filter (where true) as name0, arg_min(source_key, row_id) as source_key,
+    "merged_candidates": f"""{KEYED}, o as (select key, min(row_id) as row_id, count(*) as sightings, count(distinct source_key) as sources, arg_min(name, row_id) filter (where true) as name0, arg_min(source_key, row_id) as source_key,
   {_first('website')} as website, {_first('listing_url')} as listing_url, {_first('tagline')} as tagline from k group by key),
 u as (select key, array_to_string(list_sort(list(distinct item)), '|') as categories from (select key, unnest(categories) as item from k) where item is not null group by key)
 select o.key, o.row_id, o.sightings, o.sources, r.name, r.source_key, o.website, o.listing_url, o.tagline, coalesce(u.categories, '') as categories from o join raw_candidates r using (row_id) left join u using (key)""",

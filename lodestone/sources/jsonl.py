@@ -39,11 +39,11 @@ def classify(lines: DataFrame) -> DataFrame:
 
     malformed, not_a_mapping, no_name, no_source_key or no_pointer; null for rows to keep. A
     source key that is missing is taken from the file's name unless the file is the merged feed;
-    a time that can't be read becomes null.
+    a time that can't be read becomes null. ``repairs`` names the fields where that was done.
     """
     stem = F.regexp_extract("file", r"([^/]+?)(\.jsonl?)?(\.gz)?$", 1)
     r = lines.withColumn("r", F.when(F.col("kind") == "object", F.from_json("line", CANDIDATE)))
-    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    blank = lambda c: F.nullif(F.regexp_replace(c, "^[\\s\\p{Z}]+|[\\s\\p{Z}]+$", ""), F.lit(""))
     key = F.coalesce(blank(F.col("r.source_key")), F.when(stem != "candidates", stem))
     reason = (
         F.when(F.col("kind") == "malformed", "malformed")
@@ -52,7 +52,17 @@ def classify(lines: DataFrame) -> DataFrame:
         .when(key.isNull(), "no_source_key")
         .when(blank(F.col("r.website")).isNull() & blank(F.col("r.listing_url")).isNull(), "no_pointer")
     )
-    return r.select("file", "line_no", reason.alias("skip_reason"), *[F.col(f"r.{f.name}").alias(f.name) for f in CANDIDATE if f.name not in ("source_key", "discovered_at")], key.alias("source_key"), F.try_to_timestamp("r.discovered_at").alias("discovered_at"))
+    time = F.try_to_timestamp("r.discovered_at")
+    repairs = F.array_compact(F.array(F.when(blank(F.col("r.source_key")).isNull() & key.isNotNull(), F.lit("source_key")), F.when(blank(F.col("r.discovered_at")).isNotNull() & time.isNull(), F.lit("discovered_at"))))
+    return r.select("file", "line_no", reason.alias("skip_reason"), repairs.alias("repairs"), *[F.col(f"r.{f.name}").alias(f.name) for f in CANDIDATE if f.name not in ("source_key", "discovered_at")], key.alias("source_key"), time.alias("discovered_at"))
+
+
+def load_report(classified: DataFrame) -> DataFrame:
+    """(file, rows, kept, repaired, skipped): what became of the lines of each file; skipped counts by reason."""
+    reasons = ("malformed", "not_a_mapping", "no_name", "no_source_key", "no_pointer")
+    counts = F.create_map(*[x for r in reasons for x in (F.lit(r), F.count_if(F.col("skip_reason") == r))])
+    kept = F.col("skip_reason").isNull()
+    return classified.groupBy("file").agg(F.count("*").alias("rows"), F.count_if(kept).alias("kept"), F.count_if(kept & (F.size("repairs") > 0)).alias("repaired"), counts.alias("skipped"))
 
 
 def load_candidates(spark: SparkSession, path: str, source_keys: list[str] | None = None) -> DataFrame:

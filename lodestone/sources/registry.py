@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The fields of a source in the file.
 FIELDS = ("key", "name", "homepage", "listing_url", "tier", "roles", "access", "trust", "rate_limit_rps", "respect_robots_txt", "enabled", "notes")
 SCHEMA = "source_key string, name string, homepage string, listing_url string, tier int, source_roles array<string>, access string, trust double, rate_limit_rps double, respect_robots_txt boolean, enabled boolean, notes string, extra map<string,string>"
 
@@ -40,6 +41,16 @@ def active(registry: DataFrame, role: str | None = None) -> DataFrame:
     return r.orderBy("tier", "source_key")
 
 
+def primary(registry: DataFrame) -> DataFrame:
+    """Sources of the first tier in the order of their keys."""
+    return registry.where(F.col("tier") == 1).orderBy("source_key")
+
+
+def summary(registry: DataFrame) -> DataFrame:
+    """(tier, sources, enabled_sources, accesses): the registry by tier."""
+    return registry.groupBy("tier").agg(F.count("*").alias("sources"), F.count_if("enabled").alias("enabled_sources"), F.countDistinct("access").alias("accesses"))
+
+
 def roles(registry: DataFrame) -> DataFrame:
     """(role, sources, enabled_sources, best_trust) over all sources."""
     r = registry.select(F.explode("source_roles").alias("role"), "enabled", F.nanvl("trust", F.lit(None).cast("double")).alias("trust"))

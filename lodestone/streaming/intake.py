@@ -25,7 +25,7 @@ def keep_new(spark: SparkSession, folder: str, table: str, checkpoint: str, key)
     """
 
     def batch(rows: DataFrame, number: int) -> None:
-        kept = classify(rows).where("skip_reason is null").drop("skip_reason", "line_no").withColumn("key", key)
+        kept = classify(rows).where("skip_reason is null").drop("skip_reason", "line_no", "repairs").withColumn("key", key)
         kept = kept.withColumn("batch", F.lit(number)).withColumn("at", F.xxhash64("file", "name", "listing_url", "website"))
         try:
             done = spark.read.parquet(table).select("key")

@@ -118,6 +118,9 @@ def test_pages(spark):
     assert [F"{x}" for x in row["n"]] == ['{"@type":"Product","url":"https://acme.com"}'] and row["o"] == ["https://other.org/p"]
     listing = spark.createDataFrame([("s", k, f'<a href="/p{k if k < 4 else 1}">', 200, 3) for k in range(1, 7)] + [("t", 1, None, None, 0), ("t", 2, None, None, 0), ("t", 3, "x", 200, 1), ("u", 1, "<p>Hello", 403, 0)], "source_key string, page_no int, body string, status int, cards int")
     ends = {r["source_key"]: (r["page_no"], r["stop_reason"]) for r in pages.walk(listing).where("stop_reason is not null").collect()}
+    more = spark.createDataFrame([("a", k, f"b{k}", 200, 5, f"u{k if k < 3 else 1}", "n") for k in range(1, 5)] + [("b", k, f"b{k}", 200, 5, f"u{k}", "n" if k < 2 else None) for k in range(1, 4)], "source_key string, page_no int, body string, status int, cards int, url string, next_url string")
+    stops = lambda **x: {r["source_key"]: (r["page_no"], r["stop_reason"]) for r in pages.walk(more, **x).where("stop_reason is not null").collect()}
+    assert stops() == {"a": (3, "seen_url"), "b": (2, "no_next")} and stops(limit=5) == {"a": (1, "limit"), "b": (1, "limit")}
     assert ends == {"s": (4, "repeated_content"), "t": (2, "consecutive_failures"), "u": (1, "bot_challenge")}
 
 

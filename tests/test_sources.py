@@ -18,6 +18,8 @@ def test_lines(spark, tmp_path):
     last = got[max(got)]
     assert last["source_key"] == "mysource" and last["discovered_at"] is None
     assert jsonl.load_candidates(spark, str(tmp_path), ["s"]).count() == 1
+    report = jsonl.load_report(jsonl.classify(jsonl.read_lines(spark, str(tmp_path)))).first()
+    assert (report["rows"], report["kept"], report["repaired"], report["skipped"]["malformed"]) == (7, 2, 1, 1)
     assert jsonl.read_lines(spark, str(tmp_path / "none.jsonl")).count() == 0
 
 
