@@ -26,7 +26,7 @@ CHARACTERS, WORDS = 5, 5
 #: Bands and rows for pages, where only equal ones count, and for texts at a similarity of 0.8:
 #: 16 bands of 3 miss one pair in 97,000 at that similarity.
 PAGE_BANDS, TEXT_BANDS = (2, 2), (16, 3)
-#: A host is shared when so many product names, and this share of its records, lie on pages of it under other paths.
+#: A host is shared when names of so many first words, and as many pages, lie on it.
 SHARED_NAMES = 20
 
 

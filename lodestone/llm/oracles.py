@@ -47,4 +47,10 @@ f as (select group_no, 'observed_description' as field_name, prep_id, trust, dis
 select group_no, field_name, prep_id from (select *, row_number() over (partition by group_no, field_name order by trust desc, discovered_at desc nulls last, prep_id) as n from f) where n = 1
 """
 
-SQL = {"p6_links": LINKS, "p6_found": GROUPS, "p7_found": SURVIVORS}
+RECORDS = f"""
+with s as ({SURVIVORS}), g as (select prep_id, observed_description, array_to_string(categories, '|') as categories from grouped_candidates)
+select s.group_no, max(case when field_name = 'observed_description' then g.observed_description end) as observed_description, max(case when field_name = 'categories' then g.categories end) as categories
+from s join g using (prep_id) group by s.group_no
+"""
+
+SQL = {"p7_records": RECORDS, "p6_links": LINKS, "p6_found": GROUPS, "p7_found": SURVIVORS}

@@ -123,7 +123,7 @@ def _p7(spark, d):
 def _p7_records(spark, d):
     """One surviving record per group with a usable value."""
     s = survivor.survivors(table(spark, d, "grouped_candidates"), table(spark, d, "source_configs"))
-    return s.groupBy("group_no").agg(F.max("value_text").alias("observed_description"), F.max("value_list").alias("categories"))
+    return s.groupBy("group_no").agg(F.max("value_text").alias("observed_description"), F.max(F.array_join("value_list", "|")).alias("categories"))
 
 
 def _p8(spark, d):
