@@ -41,7 +41,7 @@ GENERIC = (
 ASSET_ENDINGS = (".png", ".jpg", ".jpeg", ".webp", ".gif", ".svg", ".ico", ".avif", ".css", ".js", ".mp4", ".webm", ".pdf", ".zip", ".woff", ".woff2")
 ASSET_HOSTS = ("cdn-image.", "cdn.", "images.", "img.", "static.", "assets.")
 
-_PARTS = re.compile(r"([a-z][a-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:@]*)(?::(\d*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?", re.S)
+_PARTS = re.compile(r"([a-z][a-z0-9+.-]*)://(?:[^/?#@]*@)?([^/?#:@]*)(?::(\d*))?(?![^/?#])([^?#]*)(?:\?([^#]*))?(?:#(.*))?", re.S)
 _SCHEME = re.compile(r"[a-zA-Z][a-zA-Z0-9+.-]*://")
 _MANY = frozenset(SUFFIXES)
 _SHARED = frozenset(SHARED_HOSTS)
