@@ -91,22 +91,21 @@ class History:
         if _there(spark, f"{self.path}/made"):  # the stored index knows its buckets
             self.buckets = spark.read.parquet(f"{self.path}/made").first()["buckets"]
         else:
-            spark.createDataFrame([(buckets,)], "buckets int").write.parquet(f"{self.path}/made")
+            spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(f"{self.path}/made")
+        marks = self.spark.read.schema("increment int, batch int").parquet(f"{self.path}/done") if _there(spark, f"{self.path}/done") else None
+        self.finished = [] if marks is None else [tuple(r) for r in bounded_rows(marks, 1_000_000, "the increments")]
 
     def done(self) -> list[int]:
         """Numbers of the finished increments; what an unfinished one left is overwritten by its next run."""
-        if not _there(self.spark, f"{self.path}/done"):
-            return []
-        return sorted(r["increment"] for r in bounded_rows(self.spark.read.schema("increment int, batch int").parquet(f"{self.path}/done"), 1_000_000, "the increments"))
+        return sorted(k for k, _ in self.finished)
 
     def last_batch(self) -> int | None:
         """The greatest batch number that is stored."""
-        if not self.done():
-            return None
-        return self.spark.read.schema("increment int, batch int").parquet(f"{self.path}/done").agg(F.max("batch")).first()[0]
+        return max((b for _, b in self.finished), default=None)
 
     def finish(self, increment: int, batch: int) -> None:
-        self.spark.createDataFrame([(increment, batch)], "increment int, batch int").write.mode("append").parquet(f"{self.path}/done")
+        self.spark.createDataFrame([(increment, batch)], "increment int, batch int").coalesce(1).write.mode("append").parquet(f"{self.path}/done")
+        self.finished.append((increment, batch))
 
     def keyed(self, items: DataFrame) -> DataFrame:
         """``items`` with signature, and one row per band with key and bucket."""
@@ -221,7 +220,7 @@ def repeats(records: DataFrame, configs: DataFrame, history_batch: int = 0, path
     """
     spark = records.sparkSession
     store = History(spark, path or work_path(spark, "history"))
-    fronts = front_hosts(configs, records, "website", "listing_url")
+    fronts = cut(front_hosts(configs, records, "website", "listing_url"))
     out = spark.createDataFrame([], "first_prep_id bigint, prep_id bigint")
     for number, rows, is_history in _increments(records, store, history_batch):
         pages = cut(pages_of(rows, fronts).withColumn("prep_id", F.col("prep_id").cast("bigint")))
