@@ -18,7 +18,7 @@ from lodestone.llm import weburls
 from lodestone.llm.components import connected_components
 from lodestone.llm.folding import fold_ascii
 from lodestone.llm.history import front_hosts
-from lodestone.session import bounded_rows, cut
+from lodestone.session import bounded_rows, cut, maybe_broadcast
 
 # Words that names carry beside the name.
 NOISE = ("ai", "the", "ltd", "inc", "llc", "gmbh", "app", "beta", "tm", "io", "co", "corp", "hq")
@@ -58,7 +58,8 @@ def profiles(rows: DataFrame, configs: DataFrame) -> tuple[DataFrame, DataFrame]
     everyday names do not. Rows that have neither a branded name nor a site can't be told apart
     from others and stay alone.
     """
-    fronts = front_hosts(configs, rows, "website", "listing_url").withColumnRenamed("host", "_host").withColumn("_told", F.lit(True))
+    fronts = cut(front_hosts(configs, rows, "website", "listing_url"))
+    fronts = maybe_broadcast(fronts, fronts.count()).select(F.col("host").alias("_host"), F.lit(True).alias("_told"))
     p = weburls.parts(F.col("website"))
     q = weburls.parts(F.col("listing_url"))
     blank = lambda c: F.nullif(F.trim(fold_ascii(F.col(c))), F.lit(""))
