@@ -164,23 +164,26 @@ def leaks(documents: DataFrame, items: DataFrame, rare_terms: int = 8, agree: in
     held_terms = spark.createDataFrame([(w,) for w in vocabulary], "term string")
     counts = index.join(held_terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
     df = {r["term"]: r["df"] for r in bounded_rows(counts, len(vocabulary), "the held-out terms")}
-    lookup: list[tuple[str, int, int, int, int]] = []
+    lookup: list[tuple[str, int, int, int]] = []
+    needs: list[tuple[int, int, int]] = []
     for n, (_, _, ws) in enumerate(probe):
         changed = len(ws) - math.ceil(share * len(ws))
-        rare = sorted(range(len(ws)), key=lambda k: (df.get(ws[k], 0), -len(ws[k]), k))[: min(62, max(rare_terms, changed + 2))]
-        need = max(1, min(agree, len(ws) // 3, len(rare) - changed))
-        lookup += [(ws[k], n, k, bit, need) for bit, k in enumerate(rare)]
-    terms = spark.createDataFrame(lookup, "term string, sentence int, place int, bit int, need int")
+        rare = sorted(range(len(ws)), key=lambda k: (df.get(ws[k], 0), -len(ws[k]), k))[: min(62, max(rare_terms, changed + agree))]
+        needs.append((n, max(1, min(agree, len(ws) // 3)), len(ws) + len(ws) // 3 + 3 * slack))
+        lookup += [(ws[k], n, k, bit) for bit, k in enumerate(rare)]
+    terms = spark.createDataFrame(lookup, "term string, sentence int, place int, bit int")
+    needed = spark.createDataFrame(needs, "sentence int, need int, span int")
     # Offsets of one occurrence differ by at most `slack`: they share a cell of one of two grids.
     wide = 2 * slack
-    hits = index.join(terms, "term").select("doc_id", "sentence", "place", "bit", "need", F.explode("positions").alias("p"))
-    hits = hits.select("doc_id", "sentence", "bit", "need", (F.col("p") - F.col("place")).alias("offset"))
-    cells = F.explode(F.array(F.floor(F.col("offset") / wide) * 2, F.floor((F.col("offset") + slack) / wide) * 2 + 1))
-    agreed = hits.select("doc_id", "sentence", "need", "offset", F.expr("shiftleft(1L, bit)").alias("bit"), cells.alias("cell"))
-    agreed = agreed.groupBy("doc_id", "sentence", "cell").agg(F.max("need").alias("need"), F.bit_or("bit").alias("bits"), F.min("offset").alias("at")).where(F.bit_count("bits") >= F.col("need"))
-    spans = spark.createDataFrame([(n, len(ws) + len(ws) // 3 + 3 * slack) for n, (_, _, ws) in enumerate(probe)], "sentence int, span int")
-    places = agreed.select("doc_id", "sentence", "at").distinct().join(spans, "sentence").select("doc_id", "sentence", F.col("at").alias("lo"), (F.col("at") + F.col("span")).alias("hi"))
-    places = cut(places.withColumn("lo", F.greatest(F.col("lo") - slack, F.lit(0))))
+    hits = index.join(terms, "term").select("doc_id", "sentence", "place", "bit", F.explode("positions").alias("p"))
+    hits = hits.select("doc_id", "sentence", "bit", (F.col("p") - F.col("place")).alias("offset"))
+    cells = F.explode(F.array((F.floor(F.col("offset") / wide) * 2).cast("int"), (F.floor((F.col("offset") + slack) / wide) * 2 + 1).cast("int")))
+    agreed = hits.select("doc_id", "sentence", "offset", F.expr("shiftleft(1L, bit)").alias("bit"), cells.alias("cell"))
+    agreed = agreed.groupBy("doc_id", "sentence", "cell").agg(F.bit_or("bit").alias("bits"), F.min("offset").alias("at"))
+    agreed = agreed.where(F.bit_count("bits") >= min(x for _, x, _ in needs)).join(needed, "sentence").where(F.bit_count("bits") >= F.col("need"))
+    # Cells of both grids that tell one place share a window.
+    places = agreed.groupBy("doc_id", "sentence", F.floor(F.col("at") / wide)).agg(F.min("at").alias("lo"), (F.max("at") + F.max("span")).alias("hi"))
+    places = cut(places.select("doc_id", "sentence", F.greatest(F.col("lo") - slack, F.lit(0)).alias("lo"), "hi"))
     # The words around each match, from the postings of its document.
     near = index.join(places.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "term", F.explode("positions").alias("p"))
     near = near.join(places, "doc_id").where("p between lo and hi")
