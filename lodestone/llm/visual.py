@@ -68,7 +68,9 @@ def transducer() -> Callable[[str], str]:
     gone, marks, blanks = re.escape(invisible()), re.escape(_marks()), re.escape(spaces())
     singles = re.escape("".join(x for x in table if x not in _SETS["space"]))
     # Alternatives in order: joined pictures stay as they are, blanks at a line's end go, then clusters, syllables, single characters, line ends.
+    # First of all runs of plain characters are passed over, up to one that a mark may follow.
     pattern = re.compile(
+        rf"(?P<plain>[!-~\n]+(?![{gone}{marks}])| (?=[!-~]))|"
         rf"(?P<keep>[{_PICTURE}][︎️]?(?:‍[{_PICTURE}][︎️]?)+)"
         rf"|(?P<end>[ \t{blanks}{gone}]+(?=[\r\n]|\Z))"
         rf"|(?P<cluster>[^{gone}{marks}\n\r](?:[{gone}]*[{marks}])+|[\u1100-\u115e][{gone}]*[\u1161-\u11a7](?:[{gone}]*[\u11a8-\u11ff])?)"
@@ -80,9 +82,11 @@ def transducer() -> Callable[[str], str]:
     foreign = frozenset(table) | _SETS["gone"] | _SETS["space"] | frozenset(_marks()) | frozenset(map(chr, range(0x1100, 0x1200)))
 
     def rewrite(m: re.Match) -> str:
-        if m["keep"]:
-            return m["keep"].replace("️", "").replace("︎", "")
         x = m[0]
+        if m.lastgroup == "plain":
+            return x
+        if m["keep"]:
+            return x.replace("️", "").replace("︎", "")
         if m["end"]:
             return ""
         if m["cluster"]:
