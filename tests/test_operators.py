@@ -82,6 +82,14 @@ def test_pairs_of_large_blocks(spark, monkeypatch):
     assert sorted(got) == sorted(tuple(x) for x in pairs.judge(every, r).collect())
 
 
+def test_groups_keep_sizes_small(spark):
+    chain = spark.range(1, 400).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = pairs.groups(chain, "a", "b")
+    assert got.count() == 400 and got.where("group_id <> 1").isEmpty()
+    # The size that is estimated for a result must not multiply from round to round.
+    assert got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**63
+
+
 def test_quota(spark):
     rows = [(k, "abc"[k % 3] if k % 7 else None, float(k % 5)) for k in range(60)]
     df = spark.createDataFrame(rows, "id int, g string, s double")
