@@ -78,6 +78,11 @@ def test_pairs_of_large_blocks(spark, monkeypatch):
     assert max(map(len, members.values())) > pairs.BROAD
     got = [tuple(x) for x in pairs.judge_blocks(r).collect()]
     assert len(got) == len(want) and {x[:2] for x in got} == want
+    pairs_ = pairs.candidate_pairs(pairs.blocking_keys(r))
+    assert sorted(tuple(x) for x in pairs_.collect()) == sorted(want)
+    # Pairs are neither gathered nor made distinct: nothing stands above their join.
+    plan = pairs_._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("Join")]
     every = spark.createDataFrame(sorted(want), "left_id bigint, right_id bigint")
     assert sorted(got) == sorted(tuple(x) for x in pairs.judge(every, r).collect())
 
